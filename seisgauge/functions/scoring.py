@@ -49,8 +49,17 @@ _CURVES: dict[str, Callable[[Column, Column, Column], Column]] = {
 }
 
 
-def has_curve(metric_name: Column) -> Column:
-    return F.coalesce(metric_name.isin([row[0] for row in SCORE_CURVES]), F.lit(False))
+# Parameters by metric name, as literal maps.
+_CURVE, _LEVEL, _SPREAD = (
+    "map("
+    + ", ".join(
+        f"'{row[0]}', {row[place]!r}" + ("D" if place > 1 else "")
+        for row in SCORE_CURVES
+        if row[place] is not None
+    )
+    + ")"
+    for place in (1, 2, 3)
+)
 
 
 def score(value: Column, metric_name: Column) -> Column:
@@ -58,23 +67,19 @@ def score(value: Column, metric_name: Column) -> Column:
     value = value.cast("double")
     # Looked up by name, so that the value appears once per curve, not once per metric: a
     # filter on the score is pushed below it with a copy of the whole expression.
-    curve, level, spread = (_parameter(place, metric_name) for place in (1, 2, 3))
+    curve, level, spread = (
+        F.element_at(F.expr(entries), metric_name) for entries in (_CURVE, _LEVEL, _SPREAD)
+    )
     raw = F
     for name, formula in _CURVES.items():
         raw = raw.when(curve == name, formula(value, level, spread))
     # least and greatest skip NULLs, so those must not get that far.
     return F.when(
-        value.isNotNull() & has_curve(metric_name),
-        F.greatest(F.lit(0.0), F.least(raw, F.lit(100.0))),
+        value.isNotNull() & curve.isNotNull(), F.greatest(F.lit(0.0), F.least(raw, F.lit(100.0)))
     )
 
 
-def _parameter(place: int, metric_name: Column) -> Column:
-    entries = [F.lit(item) for row in SCORE_CURVES if row[place] is not None
-               for item in (row[0], row[place])]
-    return F.element_at(F.create_map(*entries), metric_name)
-
-
 def score_text(scored: Column, metric_name: Column) -> Column:
     """Printed score; ``n`` marks a metric without a curve."""
-    return F.when(has_curve(metric_name), float_text(scored)).otherwise("n")
+    known = F.element_at(F.expr(_CURVE), metric_name).isNotNull()
+    return F.when(known, float_text(scored)).otherwise("n")

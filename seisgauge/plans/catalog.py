@@ -215,7 +215,8 @@ def _parse_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.explode(forms).alias("text"))
+        .select(F.explode(forms).alias("text"))
+        .groupBy("text")
         .agg(F.count(F.lit(1)).alias("n"))
         .select("text", parse_day(F.col("text")).alias("day"), "n")
     )

@@ -7,10 +7,11 @@ the same (metric, day, channel) are corrections of one another: the last one cou
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import SCORE_CURVES, julian_day
+from ..functions import SCORE_CURVES
+from ..functions.days import UNIX_EPOCH_JULIAN_DAY
 from ..schemas import CALIBRATION_AGE, Model, blank_model, small_table, table_schema
 
 WINDOW = ("1998-01-01", "1999-12-31")
@@ -55,83 +56,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lookup(values: list, place: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), place)
+def _array(values: list) -> str:
+    return f"array({', '.join(f'{v}D' if isinstance(v, float) else repr(v) for v in values)})"
+
+
+def _lookup(values: list, place: str) -> str:
+    return f"element_at({_array(values)}, {place})"
+
+
+_METRIC = f"cast(l_partkey % {len(METRICS)} + 1 as int)"
+# Order of arrival, (order, line, price) packed into one number. The digest is made of the
+# same three, so the number also serves as the digest's id, and it keeps the last-wins
+# aggregation in the hash aggregate of generated code. Out of range it fails, loudly.
+_CENTS = "cast(round(l_extendedprice * 100) as bigint)"
+_ARRIVAL = f"""
+    case when l_orderkey between 0 and {(1 << 36) - 1} and l_linenumber between 0 and 7
+              and {_CENTS} between 0 and {(1 << 24) - 1}
+         then (l_orderkey * 8 + l_linenumber) * {1 << 24} + {_CENTS}
+         else raise_error('line item outside the range of the packed arrival order') end
+"""
+_RAW = {
+    "fkchannelid": "cast((l_suppkey * 2 + l_linenumber % 2) * 3 + l_partkey % 3 + 1 as int)",
+    "date": f"unix_date(cast(l_shipdate as date)) + {UNIX_EPOCH_JULIAN_DAY}",
+    "day": "cast(l_shipdate as date)",
+    "fkmetricid": _METRIC,
+    "fkcomputetypeid": _lookup([kind for _, kind, _ in METRICS], _METRIC),
+    "value": "(l_discount * 10 + l_tax) * "
+    + _lookup([float(scale) for _, _, scale in METRICS], _METRIC),
+    "arrival": _ARRIVAL,
+    "hash": "md5(concat_ws('|', l_orderkey, l_linenumber, cast(l_extendedprice as decimal(12,2))))",
+    "station": "concat('S', l_suppkey)",
+    "location": _lookup(LOCATIONS, "l_linenumber % 2 + 1"),
+    "channel": _lookup(CHANNEL_NAMES, "cast(l_partkey % 3 + 1 as int)"),
+    "metric": _lookup([name for name, *_ in METRICS], _METRIC),
+}
 
 
 def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: ids, day, value, digest and order of arrival."""
-    item = table(spark, sf_dir, "lineitem")
-    metric = (F.col("l_partkey") % len(METRICS) + 1).cast("int")
-    location = (F.col("l_linenumber") % 2).cast("int")
-    component = (F.col("l_partkey") % 3).cast("int")
-    channel = (F.col("l_suppkey") * 2 + location) * 3 + component + 1
-    digest = F.md5(
-        F.concat_ws(
-            "|",
-            F.col("l_orderkey"),
-            F.col("l_linenumber"),
-            F.col("l_extendedprice").cast("decimal(12,2)"),
-        )
-    )
-    value = (F.col("l_discount") * 10 + F.col("l_tax")) * _lookup(
-        [float(scale) for _, _, scale in METRICS], metric
-    )
-    return item.select(
+    """One row per line item: ids, names, day, value, digest and order of arrival."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey",
         "l_returnflag",
         "l_linestatus",
-        channel.cast("int").alias("fkchannelid"),
-        julian_day(F.col("l_shipdate").cast("date")).alias("date"),
-        metric.alias("fkmetricid"),
-        _lookup([kind for _, kind, _ in METRICS], metric).alias("fkcomputetypeid"),
-        value.alias("value"),
-        _arrival().alias("arrival"),
-        digest.alias("hash"),
-        F.col("l_shipdate").cast("date").alias("day"),
-        F.concat(F.lit("S"), F.col("l_suppkey")).alias("station"),
-        _lookup(LOCATIONS, location + 1).alias("location"),
-        _lookup(CHANNEL_NAMES, component + 1).alias("channel"),
-        _lookup([name for name, *_ in METRICS], metric).alias("metric"),
-    )
-
-
-def _arrival() -> Column:
-    """Order of arrival, (order, line, price) packed into one number.
-
-    The digest is made of the same three, so the number also serves as the digest's id. A
-    number keeps the last-wins aggregation in the hash aggregate of generated code.
-    """
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    fits = (
-        F.col("l_orderkey").between(0, (1 << 36) - 1)
-        & F.col("l_linenumber").between(0, 7)
-        & cents.between(0, (1 << 24) - 1)
-    )
-    packed = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 24) + cents
-    return F.when(fits, packed).otherwise(
-        F.raise_error(F.lit("line item outside the range of the packed arrival order"))
+        *[f"{expression} as {name}" for name, expression in _RAW.items()],
     )
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw measurements by name, in the interchange columns, plus what made them."""
-    raw = raw_measurements(spark, sf_dir)
     networks = (
         table(spark, sf_dir, "supplier")
-        .join(
-            table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-        )
-        .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("network"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .selectExpr("s_suppkey as l_suppkey", "n_name as network")
     )
-    return raw.join(networks, "l_suppkey").select(
-        F.col("day").cast("string").alias("date"),
+    raw = raw_measurements(spark, sf_dir)
+    return raw.join(networks, "l_suppkey").selectExpr(
+        "cast(day as string) as date",
         "network",
         "station",
         "location",
         "channel",
         "metric",
-        F.col("value").cast("string").alias("value"),
+        "cast(value as string) as value",
         "hash",
         "arrival",
         "fkcomputetypeid",
@@ -159,57 +145,40 @@ def station_model(
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
 
-    model = blank_model(spark)
-    model["group"] = nation.select(
-        (F.col("n_nationkey") + 1).alias("pkgroupid"),
-        F.col("n_name").alias("name"),
-        F.lit(False).alias("isignored"),
-        F.lit(1).alias("fkgrouptypeid"),
-    ).unionByName(
-        region.select(
-            (F.col("r_regionkey") + 1001).alias("pkgroupid"),
-            F.col("r_name").alias("name"),
-            F.lit(False).alias("isignored"),
-            F.lit(4).alias("fkgrouptypeid"),
-        )
+    model = blank_model(
+        spark, ["grouptype", "computetype", "calibrationdata", "errorlog", "metadata"]
+    )
+    model["group"] = nation.selectExpr(
+        "n_nationkey + 1 as pkgroupid", "n_name as name", "false as isignored", "1 as fkgrouptypeid"
+    ).union(
+        region.selectExpr("r_regionkey + 1001", "r_name", "false", "4")
     )
-    station_id = (F.col("s_suppkey") + 1).cast("int")
-    model["station"] = supplier.select(
-        station_id.alias("pkstationid"),
-        (F.col("s_nationkey") + 1).alias("fknetworkid"),
-        F.concat(F.lit("S"), F.col("s_suppkey")).alias("name"),
+    model["station"] = supplier.selectExpr(
+        "cast(s_suppkey + 1 as int) as pkstationid",
+        "s_nationkey + 1 as fknetworkid",
+        "concat('S', s_suppkey) as name",
     )
     model["stationgrouptie"] = (
-        supplier.where(station_id % 10 != 0)
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.explode(
-                F.array(F.col("n_nationkey") + 1, F.col("n_regionkey") + 1001)
-            ).alias("fkgroupid"),
-            station_id.alias("fkstationid"),
+        supplier.where("(s_suppkey + 1) % 10 <> 0")
+        .join(nation.withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey")
+        .selectExpr(
+            "explode(array(s_nationkey + 1, n_regionkey + 1001)) as fkgroupid",
+            "cast(s_suppkey + 1 as int) as fkstationid",
         )
     )
-    model["sensor"] = supplier.select(
-        station_id.alias("fkstationid"),
-        F.posexplode(F.array(*[F.lit(name) for name in LOCATIONS])).alias("place", "location"),
-    ).select(
-        ((F.col("fkstationid") - 1) * 2 + F.col("place") + 1).alias("pksensorid"),
-        "fkstationid",
-        "location",
-    )
-    channel_id = (F.col("pksensorid") - 1) * 3 + F.col("place") + 1
+    model["sensor"] = supplier.selectExpr(
+        "cast(s_suppkey + 1 as int) as fkstationid",
+        f"posexplode({_array(LOCATIONS)}) as (place, location)",
+    ).selectExpr("(fkstationid - 1) * 2 + place + 1 as pksensorid", "fkstationid", "location")
     model["channel"] = (
         model["sensor"]
-        .select(
-            "pksensorid",
-            F.posexplode(F.array(*[F.lit(name) for name in CHANNEL_NAMES])).alias("place", "name"),
-        )
-        .select(
-            channel_id.alias("pkchannelid"),
-            F.col("pksensorid").alias("fksensorid"),
+        .selectExpr("pksensorid", f"posexplode({_array(CHANNEL_NAMES)}) as (place, name)")
+        .selectExpr(
+            "(pksensorid - 1) * 3 + place + 1 as pkchannelid",
+            "pksensorid as fksensorid",
             "name",
-            F.lit(0).alias("derived"),
-            (channel_id % 10 == 0).alias("isignored"),
+            "0 as derived",
+            "((pksensorid - 1) * 3 + place + 1) % 10 = 0 as isignored",
         )
     )
     model["metric"] = small_table(

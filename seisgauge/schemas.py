@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A model is a plain mapping from table name to DataFrame.
@@ -212,17 +213,26 @@ def columns_of(table: str) -> list[str]:
 
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A few literal rows, as expressions: unlike a local list handed to
-    ``createDataFrame`` its size is known to the optimizer, so joins broadcast it."""
-    one = spark.range(0, 1, 1, 1)
-    if not rows:
-        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-        return one.where(F.lit(False)).select(*empty)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
-        for row in rows
+    """A few literal rows as an Arrow table: unlike a local list, which becomes an RDD, its
+    size is known to the optimizer, so that joins broadcast it."""
+    columns = [
+        pa.array([row[i] for row in rows], type=_ARROW_TYPES[field.dataType.simpleString()])
+        for i, field in enumerate(schema.fields)
     ]
-    return one.select(F.inline(F.array(*structs)))
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
+
+
+_ARROW_TYPES = {
+    "smallint": pa.int16(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "boolean": pa.bool_(),
+    "binary": pa.binary(),
+    "date": pa.date32(),
+    "timestamp_ntz": pa.timestamp("us"),
+}
 
 
 def seed_reference_data(spark: SparkSession) -> Model:
@@ -233,8 +243,9 @@ def seed_reference_data(spark: SparkSession) -> Model:
     }
 
 
-def blank_model(spark: SparkSession) -> Model:
-    """All fifteen tables, empty but for the seed rows."""
-    model = {t: small_table(spark, [], table_schema(t)) for t in TABLES}
-    model.update(seed_reference_data(spark))
-    return model
+def blank_model(spark: SparkSession, tables: Iterable[str] = tuple(TABLES)) -> Model:
+    """The given tables (all fifteen by default), empty but for the seed rows."""
+    seeds = seed_reference_data(spark)
+    return {
+        t: seeds[t] if t in seeds else small_table(spark, [], table_schema(t)) for t in tables
+    }
