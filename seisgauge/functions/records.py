@@ -28,4 +28,4 @@ def display_name(display: Column, name: Column) -> Column:
 
 def hash_bytes(hex_text: Column) -> Column:
     """Bytes of a hex digest; NULL if it is not whole bytes of hex."""
-    return F.when(hex_text.rlike("^([0-9A-Fa-f]{2})*$"), F.unhex(hex_text))
+    return F.when(F.length(hex_text) % 2 == 0, F.unhex(hex_text))

@@ -212,6 +212,10 @@ def columns_of(table: str) -> list[str]:
     return [name for name, *_ in TABLES[table]]
 
 
+def length_limit(table: str, column: str) -> int | None:
+    return next(size for name, _, _, size in TABLES[table] if name == column)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A few literal rows as an Arrow table: unlike a local list, which becomes an RDD, its
     size is known to the optimizer, so that joins broadcast it."""
