@@ -5,20 +5,18 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import julian_number
 from ..schemas import Model
-
-# Days per storage block; see operators.layout.
-BLOCK_DAYS = 100
+from .layout import days_per_block
 
 Ids = Sequence[int] | DataFrame | None
 
-
-def block_of(day: Column) -> Column:
-    return F.floor(day / F.lit(BLOCK_DAYS)).cast("int")
+# The most channels whose ids and names are broadcast: two ids, or four names of at most 36
+# characters each, make this some 100 MB at the worst.
+BROADCAST_CHANNELS = 500_000
 
 
 def window_facts(
@@ -33,15 +31,15 @@ def window_facts(
     bounds are repeated on the block to prune directories as well as row groups.
     """
     last = julian_number(end)
-    stored = "date_block" in facts.columns
+    block_days = days_per_block(facts)
     kept = facts.where(F.col("date") <= last)
-    if stored:
-        kept = kept.where(F.col("date_block") <= last // BLOCK_DAYS)
+    if block_days:
+        kept = kept.where(F.col("date_block") <= last // block_days)
     if begin is not None:
         first = julian_number(begin)
         kept = kept.where(F.col("date") >= first)
-        if stored:
-            kept = kept.where(F.col("date_block") >= first // BLOCK_DAYS)
+        if block_days:
+            kept = kept.where(F.col("date_block") >= first // block_days)
     if metric_id is not None:
         kept = kept.where(F.col("fkmetricid") == metric_id)
     return kept
@@ -65,9 +63,20 @@ def station_channels(model: Model, station_ids: Ids = None) -> DataFrame:
         .select(F.col("pkchannelid").alias("fkchannelid"), "fksensorid")
     )
     sensors = model["sensor"].select(F.col("pksensorid").alias("fksensorid"), "fkstationid")
-    return channels.join(pick(sensors, "fkstationid", station_ids), "fksensorid").select(
-        "fkchannelid", "fkstationid"
-    )
+    members = channels.join(pick(sensors, "fkstationid", station_ids), "fksensorid")
+    return _broadcast_by_channels(model, members.select("fkchannelid", "fkstationid"))
+
+
+def _broadcast_by_channels(model: Model, rows: DataFrame) -> DataFrame:
+    """Have ``rows``, one per channel at most, broadcast if the channels are few enough.
+
+    The optimizer multiplies the sizes of joined tables, so it would take even a handful of
+    joined dimension rows for too many and shuffle the facts to meet them. The channels are
+    counted instead, which for Parquet only reads footers. Too many of them are left to a
+    shuffled join, where adaptive execution splits channels that hold too many facts.
+    """
+    few = model["channel"].count() <= BROADCAST_CHANNELS
+    return F.broadcast(rows) if few else rows
 
 
 def channel_paths(model: Model) -> DataFrame:
@@ -84,12 +93,13 @@ def channel_paths(model: Model) -> DataFrame:
     channels = model["channel"].select(
         F.col("pkchannelid").alias("fkchannelid"), "fksensorid", F.col("name").alias("channel")
     )
-    return (
+    paths = (
         channels.join(sensors, "fksensorid")
         .join(stations, "fkstationid")
         .join(groups, "fknetworkid")
         .select("network", "station", "location", "channel", "fkchannelid")
     )
+    return _broadcast_by_channels(model, paths)
 
 
 def metric_names(model: Model) -> DataFrame:

@@ -1,0 +1,169 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from seisgauge.operators import integrity
+from seisgauge.operators.rollup import rollup_windows, window_totals
+from seisgauge.operators.scorecards import scorecard
+from seisgauge.operators.windows import station_channels, window_facts
+from seisgauge.schemas import (
+    FOREIGN_KEYS,
+    TABLES,
+    UNIQUES,
+    Unique,
+    model_schemas,
+    seed_reference_data,
+    small_table,
+    table_schema,
+)
+
+from .tiny import ROWS, tiny_model
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return tiny_model(spark)
+
+
+def with_rows(spark, model, **tables):
+    extra = {t: small_table(spark, rows, table_schema(t)) for t, rows in tables.items()}
+    return {**model, **extra}
+
+
+def ids(rows, column):
+    return sorted(r[column] for r in rows.collect())
+
+
+def test_schemas_and_seeds(spark):
+    assert len(model_schemas()) == 15 and len(UNIQUES) == 25 and len(FOREIGN_KEYS) == 14
+    seeds = seed_reference_data(spark)
+    assert [r["name"] for r in seeds["grouptype"].orderBy("pkgrouptypeid").collect()] == [
+        "Network Code", "Groups", "Countries", "Regions"
+    ]
+    assert ids(seeds["computetype"].where("iscalibration"), "name") == ["CAL_AVG", "CAL_DATE"]
+
+
+def test_tiny_model_is_sound(model):
+    assert integrity.check_uniques(model).count() == 0
+    assert integrity.check_foreign_keys(model).count() == 0
+    for name in TABLES:
+        assert integrity.check_not_null(model[name], name).count() == 0
+        assert integrity.check_lengths(model[name], name).count() == 0
+
+
+def test_unique_ignores_keys_with_null(spark, model):
+    rows = [(1, "A", False, None), (2, "A", False, None), (3, "B", False, 1), (4, "B", False, 1)]
+    groups = small_table(spark, rows, table_schema("group"))
+    found = integrity.check_unique(groups, Unique("group", ("name", "fkgrouptypeid"), False))
+    assert [(r["key"], r["copies"]) for r in found.collect()] == [("B,1", 2)]
+    hashes = small_table(spark, [(1, b"\x0a"), (2, b"\x0a")], table_schema("hash"))
+    found = integrity.check_unique(hashes, Unique("hash", ("hash",), False))
+    assert [r["key"] for r in found.collect()] == ["0a"]
+
+
+def test_foreign_keys(spark, model):
+    broken = with_rows(spark, model, channel=ROWS["channel"][:1])
+    found = {(r["child"], r["key"], r["n"]) for r in integrity.check_foreign_keys(broken).collect()}
+    assert found == {("metricdata", 2, 2)}
+
+
+def test_nulls_lengths_defaults(spark):
+    rows = spark.createDataFrame(
+        [(1, None, "x" * 17, None, None), (2, 1, "y", 5, True)],
+        "pkchannelid int, fksensorid int, name string, derived int, isignored boolean",
+    )
+    nulls = {(r["column_name"], r["n"]) for r in integrity.check_not_null(rows, "channel").collect()}
+    assert nulls == {("fksensorid", 1), ("derived", 1), ("isignored", 1)}
+    assert [(r["column_name"], r["n"]) for r in integrity.check_lengths(rows, "channel").collect()] == [
+        ("name", 1)
+    ]
+    assert ids(integrity.violations(rows, "channel"), "pkchannelid") == [1]
+    filled = integrity.with_defaults(rows.drop("derived"), "channel").orderBy("pkchannelid")
+    assert [(r["derived"], r["isignored"]) for r in filled.collect()] == [(0, False), (0, True)]
+
+
+def test_deleting_a_tied_station_is_refused(model):
+    with pytest.raises(integrity.DeleteRefused):
+        integrity.cascade_delete(model, "station", F.col("name") == "ANMO")
+    # Another group's tie blocks the network as well; its own ties go with it.
+    blockers = integrity.plan_cascade(model, "group", F.col("name") == "IU").blockers.collect()
+    assert [(b["child"], b["key"], b["n"]) for b in blockers] == [("stationgrouptie", 1, 1)]
+
+
+def test_deleting_an_untied_station_takes_all_below_it(model):
+    after = integrity.cascade_delete(model, "station", F.col("name") == "ADK")
+    assert ids(after["station"], "name") == ["ANMO"]
+    assert ids(after["sensor"], "pksensorid") == [1]
+    assert ids(after["channel"], "pkchannelid") == [1, 2]
+    assert after["metricdata"].count() == 6
+
+
+def test_deleting_a_network_after_its_foreign_ties(model):
+    without = integrity.cascade_delete(model, "group", F.col("name") == "Asia")
+    assert without["stationgrouptie"].count() == 1
+    after = integrity.cascade_delete(without, "group", F.col("name") == "IU")
+    for name in ("stationgrouptie", "station", "sensor", "channel", "metricdata"):
+        assert after[name].count() == 0, name
+    assert after["metricstringdata"].count() == 0 and after["metric"].count() == 7
+    assert integrity.check_foreign_keys(after).count() == 0
+
+
+def test_deleting_a_metric_takes_its_descendants(spark, model):
+    rows = [row[:2] + (parent,) + row[3:] for row, parent in zip(ROWS["metric"], (None, 1, 2) + (None,) * 4)]
+    family = with_rows(spark, model, metric=rows)
+    below = integrity.metric_descendants(family).where("ancestor = 1").collect()
+    assert sorted((r["pkmetricid"], r["depth"]) for r in below) == [(1, 0), (2, 1), (3, 2)]
+    after = integrity.cascade_delete(family, "metric", F.col("pkmetricid") == 2)
+    assert ids(after["metric"], "pkmetricid") == [1, 4, 5, 6, 7]
+    assert after["metricdata"].count() == 4 and after["metricstringdata"].count() == 0
+    by_type = integrity.cascade_delete(family, "computetype", F.col("name") == "AVG_CH")
+    assert ids(by_type["metric"], "pkmetricid") == [4, 5, 6, 7]
+
+
+def test_calibrations_and_group_types_are_not_orphaned(spark, model):
+    day = dt.date(2014, 2, 1)
+    calibrated = with_rows(
+        spark, model, calibrationdata=[(1, 1, 2014, 2, 1, day, 2014, 2, 1, day, 5, 1.0, 3)]
+    )
+    for table, test in (("channel", "pkchannelid = 1"), ("metric", "pkmetricid = 3")):
+        with pytest.raises(integrity.DeleteRefused):
+            integrity.cascade_delete(calibrated, table, F.expr(test))
+    with pytest.raises(integrity.DeleteRefused):
+        integrity.cascade_delete(model, "grouptype", F.col("name") == "Regions")
+    free = integrity.cascade_delete(model, "grouptype", F.col("name") == "Countries")
+    assert free["grouptype"].count() == 3
+
+
+@pytest.mark.parametrize(
+    "begin, end",
+    [("2012-03-01", "2012-03-31"), ("2012-03-03", "2012-03-12"), ("2012-03-04", "2012-03-11"),
+     ("2012-03-05", "2012-03-05"), ("2012-03-02", "2012-03-14")],
+)
+def test_rollup_equals_plain_totals(spark, model, begin, end):
+    # One reading of 1 on each of ninety days around the window, on two channels.
+    days = spark.range(2455950, 2456040).select(
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("fkchannelid"),
+        F.col("id").cast("int").alias("date"),
+        F.lit(1).alias("fkmetricid"),
+        F.lit(1.0).alias("value"),
+        F.lit(1).cast("bigint").alias("fkhashid"),
+    )
+    full = {**model, "metricdata": days}
+    got = window_totals(full, rollup_windows(days), begin, end).collect()
+    wanted = (
+        window_facts(days, begin, end)
+        .join(station_channels(full), "fkchannelid")
+        .groupBy("fkstationid", "fkmetricid")
+        .agg(F.sum("value"), F.count("value"))
+        .collect()
+    )
+    assert [tuple(r) for r in got] == [tuple(r) for r in wanted]
+    if (begin, end) == ("2012-03-01", "2012-03-31"):
+        assert got[0]["readings"] == 31
+
+
+def test_reversed_window_is_empty(model):
+    assert scorecard(model, "2014-02-16", "2014-02-15", "channel", (1, 3)).count() == 0
