@@ -17,7 +17,6 @@ from ..functions import (
     score,
 )
 from ..operators import integrity, listings, lookups
-from ..operators.identifiers import assign_ids
 from ..operators.ingest import IngestResult, ingest
 from ..operators.listing import hash_listing
 from ..operators.plots import channel_plots, station_plots
@@ -32,7 +31,6 @@ from ..schemas import (
     TOTAL,
     UNIQUES,
     Model,
-    Unique,
     blank_model,
 )
 from ..sources.measurements import (
@@ -44,7 +42,6 @@ from ..sources.measurements import (
 from ..sources.staging import staging_path
 from .stations import (
     WINDOW,
-    latest,
     measurements,
     raw_measurements,
     station_model,
@@ -117,7 +114,7 @@ def _date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.date_bounds(station_model(spark, sf_dir)).select("bound", "record")
 
 
-def _named_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def named_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests: every series on each of its days and on the day after."""
     rows = measurements(spark, sf_dir)
     day = F.col("date").cast("date")
@@ -127,12 +124,12 @@ def _named_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metric_value_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lookups.metric_values(station_model(spark, sf_dir), _named_days(spark, sf_dir))
+    found = lookups.metric_values(station_model(spark, sf_dir), named_days(spark, sf_dir))
     return found.withColumn("value", round_numeric(F.col("value"), SCORE_DIGITS))
 
 
 def _digest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lookups.metric_digests(station_model(spark, sf_dir), _named_days(spark, sf_dir))
+    found = lookups.metric_digests(station_model(spark, sf_dir), named_days(spark, sf_dir))
     return found.withColumn("hash", F.lower(F.hex("hash")))
 
 
@@ -430,7 +427,7 @@ def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_listing(station_model(spark, sf_dir), "1995-01-01", "2001-12-31")
 
 
-def _other_side(listing: DataFrame) -> DataFrame:
+def other_side(listing: DataFrame) -> DataFrame:
     """The same deployment after it lost every eleventh day and re-ran every seventh."""
     julian = julian_day(F.col("date").cast("date"))
     return listing.where(julian % 11 != 0).withColumn(
@@ -440,7 +437,7 @@ def _other_side(listing: DataFrame) -> DataFrame:
 
 def _sync_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _listing(spark, sf_dir)
-    return diff(source, _other_side(source))
+    return diff(source, other_side(source))
 
 
 def _sync_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -450,7 +447,7 @@ def _sync_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sync_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences before and after the destination ingested the first ones."""
     source = _listing(spark, sf_dir)
-    other = _other_side(source)
+    other = other_side(source)
     missing = diff(source, other)
     # The destination starts with its own listing and then receives the difference.
     held = ingest(blank_model(spark), other)
