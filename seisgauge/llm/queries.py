@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from .model_queries import op10_quality_classifier
+from .output_queries import op2_token_files, op7_packing
 from .rule_queries import OP3_SQL, OP9_SQL, op3_personal_data, op9_quality_rules
 from .url_queries import OP8_SQL, op8_url_filter
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op3_personal_data": op3_personal_data,
+    "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL = {
