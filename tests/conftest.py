@@ -15,6 +15,7 @@ def make_session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("seisgauge-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
