@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from .dedup_queries import op4_decontamination, op6_minhash_dedup
 from .model_queries import op10_quality_classifier
 from .output_queries import op2_token_files, op7_packing
 from .rule_queries import OP3_SQL, OP9_SQL, op3_personal_data, op9_quality_rules
+from .shipping import shipped
 from .url_queries import OP8_SQL, op8_url_filter
 
-QUERIES = {
+_PLAIN = {
     "op2_token_files": op2_token_files,
     "op3_personal_data": op3_personal_data,
+    "op4_decontamination": op4_decontamination,
+    "op6_minhash_dedup": op6_minhash_dedup,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
+QUERIES = {name: shipped(query) for name, query in _PLAIN.items()}
+
 ORACLE_SQL = {
     "op3_personal_data": OP3_SQL,
     "op8_url_filter": OP8_SQL,
