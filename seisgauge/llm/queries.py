@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from .dedup_queries import op4_decontamination, op6_minhash_dedup
+from .dedup_queries import (
+    op1_suffix_dedup,
+    op4_decontamination,
+    op5_substring_dedup,
+    op6_minhash_dedup,
+)
 from .model_queries import op10_quality_classifier
 from .output_queries import op2_token_files, op7_packing
 from .rule_queries import OP3_SQL, OP9_SQL, op3_personal_data, op9_quality_rules
@@ -10,9 +15,11 @@ from .shipping import shipped
 from .url_queries import OP8_SQL, op8_url_filter
 
 _PLAIN = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_files": op2_token_files,
     "op3_personal_data": op3_personal_data,
     "op4_decontamination": op4_decontamination,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
