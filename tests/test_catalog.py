@@ -10,14 +10,16 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from seisgauge.plans.catalog import QUERIES
+from seisgauge.plans.oracle import ORACLE_SQL
 from seisgauge.operators.scorecards import scorecard
 from seisgauge.plans.stations import WINDOW, station_model
 
 from .compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-SLOW = {name for name in queries() if name.startswith("ingest") or name == "sync_closure"}
+SLOW = {name for name in QUERIES if name.startswith("ingest") or name == "sync_closure"}
 
 
 @pytest.fixture(scope="module")
@@ -26,14 +28,14 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
     if name in SLOW and not os.environ.get("SEISGAUGE_FULL"):
         pytest.skip("set SEISGAUGE_FULL to run the ingest queries")
-    assert compare(spark, connection, queries()[name], oracle_sql()[name], SF) is None
+    assert compare(spark, connection, QUERIES[name], ORACLE_SQL[name], SF) is None
 
 
 def test_known_row_counts(spark):
