@@ -40,11 +40,15 @@ def components(links: DataFrame) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
     held = stage(downward.distinct(), "links")
-    mark = None
     for _ in range(ROUNDS):
-        held = stage(_small_star(_large_star(held)), "links")
-        now = held.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == mark:
+        if _settled(held):
             return held
-        mark = now
+        held = stage(_small_star(_large_star(held)), "links")
     raise RuntimeError("the components did not settle")
+
+
+def _settled(links: DataFrame) -> bool:
+    """Whether each node has one link, to a node that has none."""
+    counts = links.agg(F.count("*"), F.count_distinct("u")).first()
+    inner = links.join(links.select(F.col("u").alias("v")), "v", "left_semi")
+    return counts[0] == counts[1] and not inner.take(1)

@@ -12,9 +12,11 @@ Documents of equal sets are one class, named by its least doc_id; only classes a
 2. In each bucket every class is compared with the least one (a star, not all pairs). Confirmed
    links join classes to components.
 3. Buckets that still hold several components are looked at again. Where few classes (``FEW``) are
-   outside the largest component, these are compared with the rest of the bucket. Other buckets
-   are split by sketches of the third collection, again and again; after ``LEVELS`` splits
-   what is left is compared across components whatever its size. No bucket is cut off.
+   outside the largest component, these are compared with the rest of the bucket. A bucket of at
+   most ``GATHERED`` classes goes to one task, which compares those of different components and
+   gives the links that join them. Larger ones are split by sketches of the third collection, again
+   and again; after ``LEVELS`` splits what is left is compared across components whatever its
+   size. No bucket is cut off.
 
 Candidates pass a test of sizes, which is exact, and of 128 bits of the sketches, which lets a pair
 of similarity 0.8 go less than once in a million times. Then whole texts are compared: a task holds
@@ -49,7 +51,7 @@ from .word_hashes import run_hashes, word_hashes
 SHINGLE, SIMILARITY = 5, 80
 #: Sketches of a collection.
 SUBS = 12
-FEW, LEVELS = 32, 6
+FEW, GATHERED, LEVELS = 32, 2000, 6
 #: Bits of 128 in which the sketches of a linked pair may differ: 12.8 are expected.
 FAR_BITS = 37
 #: Partners of a class that a task compares.
@@ -207,15 +209,15 @@ def _is_empty(rows: DataFrame) -> bool:
 
 
 def _open(buckets: DataFrame, reached: DataFrame) -> DataFrame:
-    """(key, node, comp, main, others) of buckets with several components: the largest (the least
-    of those) and how many nodes are outside it."""
+    """(key, node, comp, total, main, others) of buckets with several components: the nodes, the
+    largest component (the least of those) and how many nodes are outside it."""
     rows = _labelled(buckets.select("key", "node"), reached)
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     held = sizes.groupBy("key").agg(
         F.max(F.struct(F.col("n"), (-F.col("comp")).alias("c"))).alias("top"), F.sum("n").alias("total")
     )
     several = held.where("top.n < total").select(
-        "key", (-F.col("top.c")).alias("main"), (F.col("total") - F.col("top.n")).alias("others")
+        "key", "total", (-F.col("top.c")).alias("main"), (F.col("total") - F.col("top.n")).alias("others")
     )
     return rows.join(several, "key")
 
@@ -227,6 +229,82 @@ def _across(held: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("center", "node").alias("node"), F.least("center", "node").alias("center"))
 
 
+class Joined:
+    """Components of a few nodes."""
+
+    def __init__(self, comps: list[int]) -> None:
+        first: dict[int, int] = {}
+        self.up = [first.setdefault(comp, k) for k, comp in enumerate(comps)]
+
+    def of(self, k: int) -> int:
+        while self.up[k] != k:
+            self.up[k] = self.up[self.up[k]]
+            k = self.up[k]
+        return k
+
+    def join(self, j: int, k: int) -> None:
+        self.up[self.of(j)] = self.of(k)
+
+
+def joining_links(
+    nodes: list[int], comps: list[int], sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Links between nodes of different components, as many as it takes to join all that are
+    linked. Nodes are told apart by shingles in common, counted for one node at a time."""
+    if not sets:
+        return []
+    sizes = np.array([held.size for held in sets], np.int64)
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(place, kind="stable")
+    owners, counts = owner[order], np.bincount(place, minlength=values.size)
+    first = np.cumsum(counts) - counts
+    begins = np.cumsum(sizes) - sizes
+    joined, links = Joined(comps), []
+    # Of each pair to compare one is outside the largest component.
+    main = max(set(comps), key=comps.count)
+    for j in [j for j in range(len(sets)) if comps[j] != main]:
+        own = place[begins[j] : begins[j] + sizes[j]]
+        spots = np.repeat(first[own] - np.cumsum(counts[own]) + counts[own], counts[own]) + np.arange(counts[own].sum())
+        same = np.bincount(owners[spots], minlength=len(sets))
+        for k in np.flatnonzero(100 * same >= percent * (sizes[j] + sizes - same)).tolist():
+            if joined.of(j) != joined.of(k):
+                joined.join(j, k)
+                links.append((nodes[j], nodes[k]))
+    return links
+
+
+def _gathered(held: DataFrame, bodies: DataFrame, length: int, percent: int) -> DataFrame:
+    """Links within buckets of a bounded size, a bucket at a time."""
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (
+        held.select("key", "node", "comp").join(bodies, "node")
+        .repartition(parts, "key")
+        .sortWithinPartitions("key", "node")
+    )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nodes, comps, sets = None, [], [], []
+
+        def settle() -> pa.RecordBatch:
+            u, v = zip(*found) if (found := joining_links(nodes, comps, sets, percent)) else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for key, node, comp, text in zip(
+                *(batch.column(c).to_pylist() for c in ("key", "node", "comp")), batch.column("text")
+            ):
+                if key != at:
+                    yield settle()
+                    at, nodes, comps, sets = key, [], [], []
+                nodes.append(node)
+                comps.append(comp)
+                sets.append(shingles(text.as_py(), length))
+        yield settle()
+
+    return rows.select("key", "node", "comp", "text").mapInArrow(run, EDGE_SCHEMA)
+
+
 def _split(held: DataFrame, classes: DataFrame, level: int) -> DataFrame:
     """Buckets of longer keys: each goes on by two sketches of the third collection."""
     rows = held.select("key", "node").join(classes.select("node", "c"), "node")
@@ -263,11 +341,14 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, percent: int = SIMIL
         easy = held if level == LEVELS else held.where(F.col("others") <= FEW)
         fresh = _across(easy).distinct().join(tested, ["center", "node"], "left_anti")
         pairs = stage(_candidates(fresh, classes), "pairs")
-        if not _is_empty(pairs):
-            links = stage(_confirmed(pairs, bodies, length, percent), "confirmed")
-            reached = components(reached.unionByName(links))
-            tested = tested.unionByName(pairs)
+        links = stage(_confirmed(pairs, bodies, length, percent), "confirmed")
         hard = held.where(F.col("others") > FEW)
+        if level < LEVELS and not _is_empty(hard):
+            middle = hard.where(F.col("total") <= GATHERED)
+            links = links.unionByName(stage(_gathered(middle, bodies, length, percent), "gathered"))
+        reached = components(reached.unionByName(links))
+        tested = tested.unionByName(pairs)
+        hard = hard.where(F.col("total") > GATHERED)
         if level == LEVELS or _is_empty(hard):
             break
         buckets = stage(_split(hard, classes, level), "buckets")

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from seisgauge.llm.automaton_dedup import least_documents, remove_passages
 from seisgauge.llm.components import components
-from seisgauge.llm.near_duplicates import minhashes, near_duplicates, shingles
+from seisgauge.llm.near_duplicates import joining_links, minhashes, near_duplicates, shingles
 from seisgauge.llm.segments import sliding_least, spans
 from seisgauge.llm.suffix_dedup import Transform, remove_repeats, repeated_windows
 
@@ -137,3 +137,40 @@ def test_components(spark):
         if before == least:
             break
     assert found == {x: m for x, m in least.items() if x != m}
+
+
+def test_joining_links():
+    chance = random.Random(8)
+    base = odd.prose(chance, 200)
+    texts = [odd.changed(chance, base, k % 9) for k in range(60)] + [odd.prose(chance, 80) for _ in range(5)]
+    sets, nodes = [shingles(text, 4) for text in texts], list(range(len(texts)))
+    links = joining_links(nodes, nodes, sets, 80)
+    parent = list(nodes)
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in links:
+        parent[root(u)] = root(v)
+    for i in nodes:
+        for j in nodes[:i]:
+            same = np.intersect1d(sets[i], sets[j]).size
+            linked = 100 * same >= 80 * (sets[i].size + sets[j].size - same)
+            assert not linked or root(i) == root(j)
+            assert linked or (i, j) not in links and (j, i) not in links
+
+
+@pytest.mark.parametrize("gathered", [3, 40])
+def test_buckets_of_any_size(spark, monkeypatch, gathered):
+    """Small bounds, so that buckets are gathered and split as large ones are."""
+    from seisgauge.llm import near_duplicates as module
+
+    monkeypatch.setattr(module, "FEW", 1)
+    monkeypatch.setattr(module, "GATHERED", gathered)
+    chance = random.Random(10)
+    base = odd.prose(chance, 100)
+    texts = [odd.changed(chance, base, chance.randrange(14)) for _ in range(70)]
+    docs = [(i, text, None, None, None) for i, text in enumerate(texts)]
+    assert counted(module.near_duplicates(odd.documents(spark, docs), 4)) == brute.near_components(docs, 4)
