@@ -9,7 +9,8 @@ doc_id of the passages that contain its strings. The passages are then streamed
 word the state of the longest match is cut back to the window, which gives the least document that
 has the window. Spans where this is smaller than the document itself are removed.
 
-A fingerprint with a single passage needs no automaton: the least document is the passage's.
+A fingerprint with a single passage needs no automaton: the least document is the passage's. Nor do
+documents of the same words: all but the first lose everything, if they have a window at all.
 
 Nulls and odd rows: a null or blank text has no words. Repeated rows have one doc_id, so neither
 removes the other, but both lose what a smaller document has. A null doc_id is smaller than none
@@ -31,8 +32,11 @@ from seisgauge.sources.staging import stage
 
 from .inputs import words
 from .segments import (
+    NOBODY,
     Body,
     Units,
+    alike,
+    batch_of,
     candidates,
     fingerprint_groups,
     fingerprints,
@@ -47,11 +51,9 @@ from .word_hashes import run_hashes, word_hashes
 WINDOW, GRAM = 13, 6
 #: Words of a shard, about.
 SHARD_WORDS = 300_000
-#: Greater than any doc_id.
-NOBODY = (1 << 63) - 1
 
-FOUND_SCHEMA = "print long, body_hash binary, starts array<int>, ends array<int>, least array<long>"
-CLEANED_SCHEMA = "doc_key binary, n_words long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+FOUND_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>, least array<long>"
+CLEANED_SCHEMA = "doc_no long, number long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -163,12 +165,7 @@ def _found(bodies: list[tuple[Body, np.ndarray]]) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         ends = np.append(starts[1:], least.size)
         rows.append((body.print, body.hash, starts.tolist(), ends.tolist(), least[starts].tolist()))
-    columns = list(zip(*rows)) or [()] * 5
-    kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-        names=["print", "body_hash", "starts", "ends", "least"],
-    )
+    return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 5)
 
 
 def _least_by_window(found: DataFrame, window: int) -> DataFrame:
@@ -177,13 +174,15 @@ def _least_by_window(found: DataFrame, window: int) -> DataFrame:
         size = 0
 
         def settle() -> pa.RecordBatch:
-            least = least_documents([(b.body, NOBODY if b.least is None else b.least) for b in held], window)
+            least = least_documents([(b.body, b.least) for b in held], window)
             return _found(list(zip(held, least)))
 
         for group in fingerprint_groups(batches):
             if len(group) == 1:
-                least = NOBODY if group[0].least is None else group[0].least
-                yield _found([(group[0], np.full(group[0].n, least, np.int64))])
+                # Nothing smaller than the first document that has it: nothing to tell unless
+                # others have it, too.
+                if group[0].copies > 1:
+                    yield _found([(group[0], np.full(group[0].n, group[0].least, np.int64))])
                 continue
             held.extend(group)
             size += sum(body.n + window - 1 for body in group)
@@ -193,7 +192,7 @@ def _least_by_window(found: DataFrame, window: int) -> DataFrame:
         if held:
             yield settle()
 
-    return grouped(found, sights=1).mapInArrow(run, FOUND_SCHEMA)
+    return grouped(found, sights=2).mapInArrow(run, FOUND_SCHEMA)
 
 
 def _described(held: list[bytes]) -> tuple[int, str]:
@@ -204,23 +203,16 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     """A row per document: doc_id, n_words, n_removed, n_spans, kept_sha256 and, if asked for, the
     remaining words joined by blanks as ``kept`` (bytes)."""
     units = word_units(window, gram)
-    found = stage(fingerprints(docs, units, _described), "prints")
-    # Between two documents only; one without an id counts as the last.
-    number = F.coalesce("doc_id", F.lit(NOBODY))
-    shared = (
-        found.select(number.alias("doc"), F.explode("prints").alias("print"))
-        .groupBy("print")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-        .where("least < most")
-    )
-    held = stage(candidates(docs, found, shared), "candidates")
+    found = stage(fingerprints(docs, units, _described, places=False), "prints")
+    same = alike(found)
+    held = stage(candidates(docs, found, same), "candidates")
     cut = stage(segments(held, units), "segments")
-    own = cut.select("doc_key", number.alias("doc"), "at", "print", "body_hash")
     ranges = (
-        own.join(_least_by_window(cut, window), ["print", "body_hash"])
-        .select("doc_key", "doc", "at", F.explode(F.arrays_zip("starts", "ends", "least")).alias("x"))
-        .where("x.least < doc")
-        .groupBy("doc_key")
+        cut.select("doc_no", "number", "at", "print", "body_hash")
+        .join(_least_by_window(cut, window), ["print", "body_hash"])
+        .select("doc_no", "number", "at", F.explode(F.arrays_zip("starts", "ends", "least")).alias("x"))
+        .where("x.least < number")
+        .groupBy("doc_no", "number")
         # A document's own ranges, so no more than it has words.
         .agg(F.collect_set(F.struct((F.col("at") + F.col("x.starts")).alias("start"), (F.col("at") + F.col("x.ends")).alias("end"))).alias("ranges"))
     )
@@ -228,36 +220,39 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, text, own in zip(*(batch.column(c).to_pylist() for c in ("doc_key", "text", "ranges"))):
+            names = (batch.column(c).to_pylist() for c in ("doc_no", "number", "text", "ranges"))
+            for doc_no, number, text, own in zip(*names):
                 held = words_of(text)
                 gone = spans([r["start"] for r in own], [r["end"] + window - 1 for r in own])
                 edges = [0, *(place for span in gone for place in span), len(held)]
                 rest = [word for a, b in zip(edges[0::2], edges[1::2]) for word in held[a:b]]
                 joined = b" ".join(rest)
-                rows.append((key, len(held), len(held) - len(rest), len(gone), hashlib.sha256(joined).hexdigest(), joined if with_text else None))
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = (pa.binary(), *[pa.int64()] * 3, pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-                names=[pair.split()[0] for pair in CLEANED_SCHEMA.split(", ")],
-            )
-
-    changed = held.select("doc_key", "text").join(ranges, "doc_key").mapInArrow(clean, CLEANED_SCHEMA)
-    # Rows of one key have one text and one id.
-    changed = changed.dropDuplicates(["doc_key"]).drop("n_words")
-    rows = found.select("doc_key", "doc_id", F.col("n_units").alias("n_words"), "sha256").join(changed, "doc_key", "left")
-    result = rows.select(
-        "doc_key", "doc_id", "n_words",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
-        "kept",
+                digest = hashlib.sha256(joined).hexdigest()
+                rows.append((doc_no, number, len(held) - len(rest), len(gone), digest, joined if with_text else None))
+            yield batch_of(CLEANED_SCHEMA, list(zip(*rows)) or [()] * 6)
+
+    key = ["doc_no", "number"]
+    changed = held.select(*key, "text").join(ranges, key).mapInArrow(clean, CLEANED_SCHEMA)
+    # By the first of those alike, which have the same words.
+    changed = changed.dropDuplicates(key).select(
+        F.col("doc_no").alias("first_no"), F.col("number").alias("first"), "n_removed", "n_spans", "kept_sha256", "kept"
+    )
+    later = (F.col("number") > F.col("first")) & (F.col("n_units") >= window)
+    plain = (F.lit(0).cast("long"), F.lit(0).cast("long"), F.col("sha256"))
+    whole = (F.col("n_units"), F.lit(1).cast("long"), F.lit(hashlib.sha256().hexdigest()))
+    told = [
+        F.when(later, all_).otherwise(F.coalesce(F.col(name), none)).alias(name)
+        for name, all_, none in zip(("n_removed", "n_spans", "kept_sha256"), whole, plain)
+    ]
+    rows = (
+        found.where("bucket is null").select(*key, "doc_id", "n_units", "sha256")
+        .join(same, "sha256")
+        .join(changed, ["first_no", "first"], "left")
     )
     if not with_text:
-        return result.drop("doc_key", "kept")
-    whole = keyed(docs).select("doc_key", F.array_join(words(F.col("text")), " ").cast("binary").alias("whole"))
-    return (
-        result.join(whole.dropDuplicates(["doc_key"]), "doc_key")
-        .withColumn("kept", F.coalesce("kept", "whole"))
-        .drop("doc_key", "whole")
+        return rows.select("doc_id", F.col("n_units").alias("n_words"), *told)
+    full = keyed(docs).select(*key, F.array_join(words(F.col("text")), " ").cast("binary").alias("text"))
+    kept = F.when(later, F.lit(b"")).otherwise(F.coalesce("kept", "text"))
+    return rows.join(full.dropDuplicates(key), key).select(
+        "doc_id", F.col("n_units").alias("n_words"), *told, kept.alias("kept")
     )

@@ -7,16 +7,19 @@ can't be that of a repeated window, so only segments of the others leave their d
 
 The steps, each a Spark job over all documents:
 
-1. ``fingerprints``: those of each document, as one row;
-2. ``shared``: fingerprints that occur more than once, counted in each task first;
-3. ``candidates``: documents with such fingerprints, with their text;
+1. ``fingerprints``: what each document is, and its fingerprints. A task knows by itself that those
+   it sees several times are shared; of each fingerprint it sends one entry, packed with others;
+2. ``listed``: entries that several tasks sent are shared, too. So a fingerprint of a third of all
+   documents is one entry for each task;
+3. ``candidates``: documents with shared fingerprints, with their text. Of documents of the same
+   units only the first is taken, its copies need no look;
 4. ``segments``: their segments. Each task gives the body of a segment where it first sees it;
 5. ``grouped``: the bodies, dealt by fingerprint, for the work of an operator. Bodies that occur
    often come once from each task at most;
 6. the operator's findings on bodies go back to the documents by a join on the bodies' hash.
 
-Documents are known by ``doc_key``, a digest of id and text, so repeated rows and null ids work.
-Bodies are compared by a 128-bit hash.
+Documents are known by ``doc_no``, a hash of id and text, and ``number``, the id or a number above
+all ids, so repeated rows and null ids work. Bodies are known by fingerprint and a hash.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +39,16 @@ from .inputs import texts
 #: Windows of a segment at most: a long run of one fingerprint (a text of one letter) is cut.
 LONGEST = 4096
 
+#: Greater than any doc_id.
+NOBODY = (1 << 63) - 1
+
 FINGERPRINT_SCHEMA = (
-    "doc_key binary, doc_id long, n_units long, sha256 string, prints array<long>, counts array<int>"
+    "doc_no long, number long, doc_id long, n_units long, sha256 string, prints array<long>, "
+    "bucket int, entries binary"
 )
+LISTED_SCHEMA = "doc_no long, prints array<long>"
 SEGMENT_SCHEMA = (
-    "doc_key binary, doc_id long, at long, n long, print long, body_hash binary, body binary, sight int"
+    "doc_no long, number long, at long, n long, print long, body_hash long, body binary, sight int"
 )
 
 
@@ -77,69 +86,165 @@ def runs(grams: np.ndarray, units: Units) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_key, doc_id, text."""
-    told = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
-    return texts(docs).select(F.unhex(F.md5(told)).alias("doc_key"), "doc_id", "text")
+    """doc_no, number, doc_id, text."""
+    return texts(docs).select(
+        F.xxhash64("doc_id", "text").alias("doc_no"),
+        F.coalesce("doc_id", F.lit(NOBODY)).alias("number"),
+        "doc_id",
+        "text",
+    )
+
+
+def batch_of(schema: str, columns: list) -> pa.RecordBatch:
+    kinds = {
+        "long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(),
+        "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+    }
+    fields = [pair.split() for pair in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(values, kinds[kind]) for values, (_, kind) in zip(columns, fields)],
+        names=[name for name, _ in fields],
+    )
 
 
-def fingerprints(docs: DataFrame, units: Units, described: Callable[[Sequence], tuple[int, str]]) -> DataFrame:
-    """A row per document; ``counts`` says how many places in the document hold the fingerprint's
-    gram, ``described`` gives n_units and sha256."""
+def packed(prints: np.ndarray, owners: np.ndarray) -> bytes:
+    """Sorted fingerprints and the doc_no of each one's document (0: none), in some ten bytes."""
+    steps = np.diff(prints, prepend=np.uint64(0)).astype("<u8")
+    planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    known, place = np.unique(owners, return_inverse=True)
+    head = np.array([prints.size, known.size], "<u4").tobytes()
+    plain = head + planes + known.astype("<i8").tobytes() + place.astype("<u4").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(plain)
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    plain = zstandard.ZstdDecompressor().decompress(blob)
+    n, known = np.frombuffer(plain, "<u4", 2).tolist()
+    steps = np.ascontiguousarray(np.frombuffer(plain, np.uint8, 8 * n, 8).reshape(8, n).T)
+    owners = np.frombuffer(plain, "<i8", known, 8 + 8 * n)
+    place = np.frombuffer(plain, "<u4", n, 8 + 8 * n + 8 * known)
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), owners[place]
+
+
+#: Fingerprints that a task holds before it sends them.
+HELD = 2_000_000
+
+
+def fingerprints(
+    docs: DataFrame, units: Units, described: Callable[[Sequence], tuple[int, str]], places: bool
+) -> DataFrame:
+    """Rows of documents, with the fingerprints known to be shared in ``prints``, and rows of
+    packed ``entries`` for a ``bucket``. With ``places`` a fingerprint whose gram stands in two
+    places of one document is shared, otherwise it takes two documents. ``described`` gives
+    n_units and sha256."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        sizes = [prints.size for *_, prints, _ in held]
+        if not held:
+            return
+        prints = np.concatenate([prints for *_, prints, _ in held])
+        counts = np.concatenate([counts for *_, counts in held])
+        owner = np.repeat(np.arange(len(held)), sizes)
+        order = np.argsort(prints, kind="stable")
+        values, first = np.unique(prints[order], return_index=True)
+        total = np.add.reduceat(counts[order], first) if values.size else counts
+        several = total > 1
+        shared = np.zeros(prints.size, bool)
+        shared[order] = np.repeat(several, np.diff(np.append(first, prints.size)))
+        ends = np.cumsum(sizes)
+        own = [prints[e - n : e][shared[e - n : e]].view(np.int64) for e, n in zip(ends.tolist(), sizes)]
+        numbers = [list(column) for column in list(zip(*held))[:5]]
+        nothing = [None] * len(held)
+        yield batch_of(FINGERPRINT_SCHEMA, [*numbers, own, nothing, nothing])
+        names = np.array(numbers[0], np.int64)
+        owners = np.where(several, 0, names[owner[order[first]]] if values.size else 0)
+        bucket = ((values >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+        found = [int(b) for b in np.unique(bucket)]
+        blobs = [packed(values[bucket == b], owners[bucket == b]) for b in found]
+        nothing = [None] * len(found)
+        yield batch_of(FINGERPRINT_SCHEMA, [*[nothing] * 6, found, blobs])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
-            sizes, digests, prints, counts = [], [], [], []
-            for text in batch.column("text"):
-                held, grams = units.parse(text.as_py())
-                size, digest = described(held)
-                values, where = np.unique(runs(grams, units)[0], return_inverse=True)
-                # Places of each fingerprint's gram, more than those of its runs: a gram within
-                # one run may stand in it twice.
-                at = np.searchsorted(values, grams)
-                found = at[(at < values.size) & (values[np.minimum(at, values.size - 1)] == grams)] if values.size else where
-                sizes.append(size)
-                digests.append(digest)
-                prints.append(values.view(np.int64))
-                counts.append(np.bincount(found, minlength=values.size).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_key"),
-                    batch.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.string()),
-                    pa.array(prints, pa.list_(pa.int64())),
-                    pa.array(counts, pa.list_(pa.int32())),
-                ],
-                names=["doc_key", "doc_id", "n_units", "sha256", "prints", "counts"],
-            )
+            names = (batch.column(c).to_pylist() for c in ("doc_no", "number", "doc_id"))
+            for doc_no, number, doc_id, text in zip(*names, batch.column("text")):
+                parts, grams = units.parse(text.as_py())
+                prints = np.unique(runs(grams, units)[0])
+                counts = np.ones(prints.size, np.int64)
+                if places and prints.size:
+                    at = np.minimum(np.searchsorted(prints, grams), prints.size - 1)
+                    counts = np.bincount(at[prints[at] == grams], minlength=prints.size)
+                held.append((doc_no, number, doc_id, *described(parts), prints, counts))
+                size += prints.size
+                if size > HELD:
+                    yield from settle(held)
+                    held, size = [], 0
+        yield from settle(held)
 
     return keyed(docs).mapInArrow(run, FINGERPRINT_SCHEMA)
 
 
-def candidates(docs: DataFrame, found: DataFrame, shared: DataFrame) -> DataFrame:
-    """doc_key, doc_id, text and the ``shared`` fingerprints (a column ``print``) of the documents
-    that have some."""
-    listed = (
-        found.select("doc_key", F.explode("prints").alias("print"))
-        .join(shared.select("print"), "print", "left_semi")
-        .groupBy("doc_key")
-        .agg(F.collect_set("print").alias("shared"))
+def listed(found: DataFrame) -> DataFrame:
+    """doc_no and its shared fingerprints, from the rows of ``fingerprints``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [unpacked(blob.as_py()) for batch in batches for blob in batch.column("entries")]
+        if not blobs:
+            return
+        prints, owners = (np.concatenate(part) for part in zip(*blobs))
+        order = np.argsort(prints, kind="stable")
+        prints, owners = prints[order], owners[order]
+        new = np.concatenate([[True], prints[1:] != prints[:-1]])
+        shared = ~(new & np.append(new[1:], True)) & (owners != 0)
+        prints, owners = prints[shared], owners[shared]
+        order = np.argsort(owners, kind="stable")
+        prints, owners = prints[order].view(np.int64), owners[order]
+        names, first = np.unique(owners, return_index=True)
+        for at in range(0, names.size, 10_000):
+            cuts = np.append(first, prints.size)[at : at + 10_001]
+            lists = [prints[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            yield batch_of(LISTED_SCHEMA, [names[at : at + 10_000], lists])
+
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = found.where("bucket is not null").select("bucket", "entries")
+    across = sent.repartition(parts, "bucket").select("entries").mapInArrow(run, LISTED_SCHEMA)
+    within = found.where("bucket is null and size(prints) > 0").select("doc_no", "prints")
+    # As many lists as there are buckets and a document has fingerprints, at most.
+    return (
+        within.unionByName(across).groupBy("doc_no").agg(F.flatten(F.collect_list("prints")).alias("shared"))
+    )
+
+
+def alike(found: DataFrame) -> DataFrame:
+    """For each sha256: how many documents have it, and the first of them by number."""
+    return (
+        found.where("bucket is null").groupBy("sha256")
+        .agg(F.count("*").alias("copies"), F.min("number").alias("first"), F.min_by("doc_no", F.struct("number", "doc_no")).alias("first_no"))
     )
-    return keyed(docs).join(listed, "doc_key")
+
+
+def candidates(docs: DataFrame, found: DataFrame, firsts: DataFrame) -> DataFrame:
+    """doc_no, number, text and shared fingerprints of the documents that have some, the first of
+    those alike (rows of ``alike``)."""
+    named = firsts.select(F.col("first_no").alias("doc_no"), F.col("first").alias("number"))
+    wanted = listed(found).join(named, "doc_no")
+    return keyed(docs).drop("doc_id").join(wanted, ["doc_no", "number"])
 
 
 def segments(held: DataFrame, units: Units) -> DataFrame:
     """A row per segment: its document, first window, number of windows, fingerprint, the hash of
     its body and, at its first sight in the task, its body. ``sight`` counts to 3 at most.
-    Documents are seen in the order of doc_id within a task."""
+    Documents are seen in the order of their numbers within a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen: dict[int, int] = {}
         for batch in batches:
             rows: list[tuple] = []
-            for key, doc_id, text, shared in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_key", "doc_id")), batch.column("text"), batch.column("shared")
-            ):
+            names = (batch.column(c).to_pylist() for c in ("doc_no", "number"))
+            for doc_no, number, text, shared in zip(*names, batch.column("text"), batch.column("shared")):
                 held, grams = units.parse(text.as_py())
                 prints, starts, sizes = runs(grams, units)
                 known = np.sort(shared.values.to_numpy().view(np.uint64))
@@ -151,18 +256,13 @@ def segments(held: DataFrame, units: Units) -> DataFrame:
                     for at in range(first, first + count, LONGEST):
                         n = min(LONGEST, first + count - at)
                         body = units.body(held, at, at + n + units.window - 1)
-                        digest = xxhash.xxh3_128_digest(body)
+                        digest = xxhash.xxh3_64_intdigest(body) - (1 << 63)
                         sight = seen[digest] = min(3, seen.get(digest, 0) + 1)
-                        rows.append((key, doc_id, at, n, value, digest, body if sight == 1 else None, sight))
-            columns = list(zip(*rows)) or [()] * 8
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-                names=[pair.split()[0] for pair in SEGMENT_SCHEMA.split(", ")],
-            )
+                        rows.append((doc_no, number, at, n, value, digest, body if sight == 1 else None, sight))
+            yield batch_of(SEGMENT_SCHEMA, list(zip(*rows)) or [()] * 8)
 
-    dealt = held.sortWithinPartitions("doc_id", "doc_key")
-    return dealt.select("doc_key", "doc_id", "text", "shared").mapInArrow(run, SEGMENT_SCHEMA)
+    dealt = held.sortWithinPartitions("number", "doc_no")
+    return dealt.select("doc_no", "number", "text", "shared").mapInArrow(run, SEGMENT_SCHEMA)
 
 
 def grouped(found: DataFrame, sights: int) -> DataFrame:
@@ -171,7 +271,7 @@ def grouped(found: DataFrame, sights: int) -> DataFrame:
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         found.where(F.col("sight") <= sights)
-        .select("print", "body_hash", "n", "doc_id", "body")
+        .select("print", "body_hash", "n", "number", "body")
         .repartition(parts, "print")
         .sortWithinPartitions("print", "body_hash", F.col("body").isNull())
     )
@@ -180,16 +280,16 @@ def grouped(found: DataFrame, sights: int) -> DataFrame:
 @dataclass
 class Body:
     print: int
-    hash: bytes
+    hash: int
     n: int
     body: bytes
     copies: int
-    least: int | None
+    least: int
 
 
 def fingerprint_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[Body]]:
     """From the rows of ``grouped``: the bodies of one fingerprint, each with the number of its
-    rows and the least doc_id of them."""
+    rows and the least number of them."""
     group: list[Body] = []
     for batch in batches:
         for row in batch.to_pylist():
@@ -197,11 +297,10 @@ def fingerprint_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[Body]
                 yield group
                 group = []
             if not group or group[-1].hash != row["body_hash"]:
-                group.append(Body(row["print"], row["body_hash"], row["n"], row["body"], 0, row["doc_id"]))
+                group.append(Body(row["print"], row["body_hash"], row["n"], row["body"], 0, row["number"]))
             last = group[-1]
             last.copies += 1
-            if row["doc_id"] is not None and (last.least is None or row["doc_id"] < last.least):
-                last.least = row["doc_id"]
+            last.least = min(last.least, row["number"])
     if group:
         yield group
 

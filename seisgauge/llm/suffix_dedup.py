@@ -7,12 +7,15 @@ Segments of possible repeats (see ``segments``) are dealt by fingerprint, so all
 string meet in one task. There the bodies form shards, each shard's suffixes are sorted on their
 own, and the shards' transforms are merged by iterative interleave refinement: if the merged order
 is right for the first k symbols, then going through it and dealing each suffix's predecessor to
-the bucket of its preceding symbol gives the order for k + 1. Blocks of suffixes alike so far split
+the bucket of its preceding symbol gives the order for k + 1 (in the same way two symbols are dealt
+at a time). Blocks of suffixes alike so far split
 in the step that is their common prefix. A block of one suffix is settled, and so are its
-predecessors, so only blocks of several are carried on; those left after 200 steps are the repeated
+predecessors, so only blocks of several are carried on; those left at 200 symbols are the repeated
 intervals. No suffix is compared with one of another shard.
 
-A body that occurs twice as it is needs no merge: all its windows are repeats.
+A body that occurs twice as it is needs no merge: all its windows are repeats. So is all of a
+document of 200 bytes or more that occurs twice. A body alone with its fingerprint, whose gram
+stands in it once, has no repeat.
 
 Nulls and odd rows: a null or empty text has no bytes and an empty remainder. Repeated rows repeat
 each other. A null doc_id is a document like any other. An empty table works. Extra columns are
@@ -34,6 +37,8 @@ from seisgauge.sources.staging import stage
 from .segments import (
     Body,
     Units,
+    alike,
+    batch_of,
     candidates,
     fingerprint_groups,
     fingerprints,
@@ -46,12 +51,12 @@ from .segments import (
 from .word_hashes import mixed
 
 #: Bytes of a repeat, and of the grams of fingerprints.
-REPEAT, GRAM = 200, 32
+REPEAT, GRAM = 200, 64
 #: Bytes of bodies merged at once, about, and the shards they form.
-MERGED, SHARDS = 3_000_000, 8
+MERGED, SHARDS = 2_000_000, 8
 
-FOUND_SCHEMA = "print long, body_hash binary, starts array<int>, ends array<int>"
-CLEANED_SCHEMA = "doc_key binary, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+FOUND_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>"
+CLEANED_SCHEMA = "doc_no long, number long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def _grams(text: bytes, gram: int) -> np.ndarray:
@@ -129,23 +134,26 @@ def repeated_places(shards: list[Transform], depth: int) -> list[np.ndarray]:
     shards: the interleave is refined ``depth`` times."""
     sizes = [shard.places.size for shard in shards]
     offsets = np.cumsum([0, *sizes])
-    before = np.concatenate([shard.before for shard in shards])
+    one = np.concatenate([shard.before for shard in shards]).astype(np.uint16)
     longer = np.concatenate([shard.longer + np.int32(at) for shard, at in zip(shards, offsets)])
+    # Two symbols at a step: the one before is the lower half. 0 where either is missing.
+    two = np.where((one > 0) & (one[longer] > 0), one[longer] << 8 | one, 0).astype(np.uint16)
     # Rows of all transforms in the order of their first k symbols, and which of them are alike.
     rows, block = np.arange(offsets[-1], dtype=np.int32), np.zeros(offsets[-1], np.int32)
-    for _ in range(depth):
+    steps = [(one, longer)] * (depth % 2) + [(two, longer[longer])] * (depth // 2)
+    for before, further in steps:
         symbol = before[rows]
-        inner = symbol > 0
-        if not inner.all():
+        inner = np.flatnonzero(symbol)
+        if inner.size < rows.size:
             rows, block, symbol = rows[inner], block[inner], symbol[inner]
         if not rows.size:
             break
         turn = np.argsort(symbol, kind="stable")
-        rows, block, symbol = longer[rows[turn]], block[turn], symbol[turn]
+        rows, block, symbol = further[rows[turn]], block[turn], symbol[turn]
         split = np.empty(rows.size + 1, bool)
         split[0] = split[-1] = True
         split[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        several = ~(split[:-1] & split[1:])
+        several = np.flatnonzero(~(split[:-1] & split[1:]))
         block = np.cumsum(split[:-1], dtype=np.int32)[several]
         rows = rows[several]
     shard = np.searchsorted(offsets, rows, "right") - 1
@@ -175,15 +183,10 @@ def _found(bodies: list[tuple[Body, np.ndarray]]) -> pa.RecordBatch:
         starts, ends = true_runs(flags)
         if starts.size:
             rows.append((body.print, body.hash, starts.tolist(), ends.tolist()))
-    columns = list(zip(*rows)) or [()] * 4
-    kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-        names=["print", "body_hash", "starts", "ends"],
-    )
+    return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 4)
 
 
-def _repeats(found: DataFrame, depth: int) -> DataFrame:
+def _repeats(found: DataFrame, depth: int, gram: int) -> DataFrame:
     """For each body, the runs of its windows that are repeats."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,6 +202,8 @@ def _repeats(found: DataFrame, depth: int) -> DataFrame:
             if len(group) == 1 and group[0].copies > 1:
                 yield _found([(group[0], np.ones(group[0].n, bool))])
                 continue
+            if len(group) == 1 and (_grams(group[0].body, gram).view(np.int64) == group[0].print).sum() < 2:
+                continue
             held.extend(group)
             size += sum(len(body.body) for body in group)
             if size >= MERGED:
@@ -218,20 +223,15 @@ def remove_repeats(docs: DataFrame, repeat: int = REPEAT, gram: int = GRAM, with
     """A row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the
     remaining bytes as ``kept``."""
     units = byte_units(repeat, gram)
-    found = stage(fingerprints(docs, units, _described), "prints")
-    shared = (
-        found.select(F.explode(F.arrays_zip("prints", "counts")).alias("x"))
-        .groupBy(F.col("x.prints").alias("print"))
-        .agg(F.sum("x.counts").alias("n"))
-        .where("n > 1")
-    )
-    held = stage(candidates(docs, found, shared), "candidates")
+    found = stage(fingerprints(docs, units, _described, places=True), "prints")
+    same = alike(found)
+    held = stage(candidates(docs, found, same), "candidates")
     cut = stage(segments(held, units), "segments")
     ranges = (
-        cut.select("doc_key", "at", "print", "body_hash")
-        .join(_repeats(cut, repeat), ["print", "body_hash"])
-        .select("doc_key", "at", F.explode(F.arrays_zip("starts", "ends")).alias("x"))
-        .groupBy("doc_key")
+        cut.select("doc_no", "number", "at", "print", "body_hash")
+        .join(_repeats(cut, repeat, gram), ["print", "body_hash"])
+        .select("doc_no", "number", "at", F.explode(F.arrays_zip("starts", "ends")).alias("x"))
+        .groupBy("doc_no", "number")
         # A document's own ranges, so no more than it has bytes.
         .agg(F.collect_set(F.struct((F.col("at") + F.col("x.starts")).alias("start"), (F.col("at") + F.col("x.ends")).alias("end"))).alias("ranges"))
     )
@@ -239,34 +239,34 @@ def remove_repeats(docs: DataFrame, repeat: int = REPEAT, gram: int = GRAM, with
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, doc_id, text, own in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_key", "doc_id", "text", "ranges"))
-            ):
+            names = (batch.column(c).to_pylist() for c in ("doc_no", "number", "text", "ranges"))
+            for doc_no, number, text, own in zip(*names):
                 held = text.encode("utf-8", "surrogatepass")
                 gone = spans([r["start"] for r in own], [r["end"] + repeat - 1 for r in own])
                 edges = [0, *(place for span in gone for place in span), len(held)]
                 rest = b"".join(held[a:b] for a, b in zip(edges[0::2], edges[1::2]))
-                rows.append((key, doc_id, len(held), len(held) - len(rest), len(gone), hashlib.sha256(rest).hexdigest(), rest if with_text else None))
-            columns = list(zip(*rows)) or [()] * 7
-            kinds = (pa.binary(), *[pa.int64()] * 4, pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values, kind) for values, kind in zip(columns, kinds)],
-                names=[pair.split()[0] for pair in CLEANED_SCHEMA.split(", ")],
-            )
-
-    # Rows of one key have one text, so they are cleaned once.
-    changed = held.select("doc_key", "doc_id", "text").join(ranges, "doc_key").mapInArrow(clean, CLEANED_SCHEMA)
-    told = ("n_removed", "n_spans", "kept_sha256", "kept")
-    changed = changed.dropDuplicates(["doc_key"]).select("doc_key", *told)
-    rows = found.select("doc_key", "doc_id", F.col("n_units").alias("n_bytes"), "sha256").join(changed, "doc_key", "left")
-    result = rows.select(
-        "doc_key", "doc_id", "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
-        "kept",
+                digest = hashlib.sha256(rest).hexdigest()
+                rows.append((doc_no, number, len(held) - len(rest), len(gone), digest, rest if with_text else None))
+            yield batch_of(CLEANED_SCHEMA, list(zip(*rows)) or [()] * 6)
+
+    key = ["doc_no", "number"]
+    changed = held.select(*key, "text").join(ranges, key).mapInArrow(clean, CLEANED_SCHEMA)
+    # Rows of one key have one text.
+    changed = changed.dropDuplicates(key)
+    copied = (F.col("copies") > 1) & (F.col("n_units") >= repeat)
+    plain = (F.lit(0).cast("long"), F.lit(0).cast("long"), F.col("sha256"))
+    whole = (F.col("n_units"), F.lit(1).cast("long"), F.lit(hashlib.sha256().hexdigest()))
+    told = [
+        F.when(copied, all_).otherwise(F.coalesce(F.col(name), none)).alias(name)
+        for name, all_, none in zip(("n_removed", "n_spans", "kept_sha256"), whole, plain)
+    ]
+    rows = (
+        found.where("bucket is null").select(*key, "doc_id", "n_units", "sha256")
+        .join(same.select("sha256", "copies"), "sha256")
+        .join(changed, key, "left")
     )
     if not with_text:
-        return result.drop("doc_key", "kept")
-    whole = keyed(docs).select("doc_key", "text").dropDuplicates(["doc_key"])
-    return result.join(whole, "doc_key").withColumn("kept", F.coalesce("kept", F.col("text").cast("binary"))).drop("doc_key", "text")
+        return rows.select("doc_id", F.col("n_units").alias("n_bytes"), *told)
+    full = keyed(docs).select(*key, "text").dropDuplicates(key)
+    kept = F.when(copied, F.lit(b"")).otherwise(F.coalesce(F.col("kept"), F.col("text").cast("binary")))
+    return rows.join(full, key).select("doc_id", F.col("n_units").alias("n_bytes"), *told, kept.alias("kept"))
