@@ -22,7 +22,16 @@ def from_julian_day(number: Column) -> Column:
 
 
 def as_date(day: dt.date | str) -> dt.date:
-    return dt.date.fromisoformat(day) if isinstance(day, str) else day
+    """A day given as such, as ``YYYY-M-D`` or as ``YYYY-DDD`` (day of the year)."""
+    if not isinstance(day, str):
+        return day
+    year, *rest = map(int, day.split("-"))
+    if len(rest) == 2:
+        return dt.date(year, *rest)
+    found = dt.date(year, 1, 1) + dt.timedelta(days=rest[0] - 1)
+    if len(rest) != 1 or found.year != year:
+        raise ValueError(f"not a day: {day}")
+    return found
 
 
 def julian_number(day: dt.date | str) -> int:

@@ -22,19 +22,22 @@ BROADCAST_CHANNELS = 500_000
 def window_facts(
     facts: DataFrame,
     begin: dt.date | str | None,
-    end: dt.date | str,
+    end: dt.date | str | None,
     metric_id: int | None = None,
 ) -> DataFrame:
-    """Facts from ``begin`` to ``end``, both included, as literals the scan can use.
+    """Facts from ``begin`` to ``end``, both included, as literals the scan can use; None
+    leaves that side open.
 
     A fact table in the stored layout is partitioned by metric and block of days, so the
     bounds are repeated on the block to prune directories as well as row groups.
     """
-    last = julian_number(end)
     block_days = days_per_block(facts)
-    kept = facts.where(F.col("date") <= last)
-    if block_days:
-        kept = kept.where(F.col("date_block") <= last // block_days)
+    kept = facts
+    if end is not None:
+        last = julian_number(end)
+        kept = kept.where(F.col("date") <= last)
+        if block_days:
+            kept = kept.where(F.col("date_block") <= last // block_days)
     if begin is not None:
         first = julian_number(begin)
         kept = kept.where(F.col("date") >= first)

@@ -40,6 +40,7 @@ from ..sources.measurements import (
     write_sync_csv,
 )
 from ..sources.staging import staging_path
+from ..sources.store import commit_ingest, load_model, save_model
 from .stations import (
     WINDOW,
     measurements,
@@ -73,15 +74,19 @@ def _channel_plot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_use(model: Model) -> Model:
-    """The model with the metrics something was measured for."""
-    used = (
+    """The model with the number of facts of every metric, 0 for one without."""
+    counts = (
         model["metricdata"]
         .select("fkmetricid")
         .unionByName(model["metricstringdata"].select("fkmetricid"))
         .groupBy(F.col("fkmetricid").alias("pkmetricid"))
-        .agg(F.count(F.lit(1)).alias("n_facts"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    used = (
+        model["metric"].select("pkmetricid").join(counts, "pkmetricid", "left")
+        .select("pkmetricid", F.coalesce("n", F.lit(0)).alias("n_facts"))
     )
-    return {**model, "metric": model["metric"].join(used, "pkmetricid"), "used": used}
+    return {**model, "used": used}
 
 
 def _compute_type_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,8 +420,6 @@ def _ingest_error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _hash_listing_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_listing(
         station_model(spark, sf_dir),
-        "1995-01-01",
-        "2001-12-31",
         channel="BH_",
         metric="Coherence%",
         network="NATION_1%",
@@ -424,7 +427,7 @@ def _hash_listing_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hash_listing(station_model(spark, sf_dir), "1995-01-01", "2001-12-31")
+    return hash_listing(station_model(spark, sf_dir))
 
 
 def other_side(listing: DataFrame) -> DataFrame:
@@ -440,6 +443,14 @@ def _sync_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff(source, other_side(source))
 
 
+def _sync_diff_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other side holds an earlier row of every key as well."""
+    source = _listing(spark, sf_dir)
+    early = source.withColumn("hash", F.md5(F.lit("early"))).withColumn("arrival", F.lit(0))
+    late = other_side(source).withColumn("arrival", F.lit(1))
+    return diff(source, late.unionByName(early))
+
+
 def _sync_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return differences_per_day(_sync_diff(spark, sf_dir), BEGIN, END)
 
@@ -452,7 +463,7 @@ def _sync_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The destination starts with its own listing and then receives the difference.
     held = ingest(blank_model(spark), other)
     synced = ingest(held.model, missing)
-    after = diff(source, hash_listing(synced.model, "1995-01-01", "2001-12-31"))
+    after = diff(source, hash_listing(synced.model))
 
     def counted(when: str, rows: DataFrame) -> DataFrame:
         return rows.agg(F.lit(when).alias("moment"), F.count(F.lit(1)).alias("n"))
@@ -566,6 +577,35 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_measurements(spark, path).select(*MEASUREMENT_COLUMNS)
 
 
+def _csv_roundtrip_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with commas, quotes and blanks at their ends."""
+    path = staging_path(spark, "csv")
+    rows = _listing(spark, sf_dir).withColumns(
+        {
+            "station": F.concat("station", F.lit(',"x", ')),
+            "location": F.concat(F.lit(" "), "location"),
+        }
+    )
+    write_sync_csv(rows, path)
+    return read_measurements(spark, path).select(*MEASUREMENT_COLUMNS)
+
+
+def _store_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the measurements saved, the other half ingested in two commits, then listed."""
+    root = staging_path(spark, "store")
+    raw = raw_measurements(spark, sf_dir)
+    save_model(spark, station_model(spark, sf_dir, raw.where(F.col("l_linestatus") == "F")), root, block_days=1000)
+    rows = measurements(spark, sf_dir).where(F.col("l_linestatus") == "O")
+    for text_values in (True, False):
+        result = ingest(load_model(spark, root), rows.where(_kind(text_values)), text_values)
+        commit_ingest(spark, result, root)
+    model = load_model(spark, root)
+    repeated = integrity.check_uniques(model).first()
+    if repeated is not None:
+        raise RuntimeError(f"the store repeats {repeated}")
+    return _named_facts(model, "metricdata")
+
+
 def _text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "records")
     model = station_model(spark, sf_dir)
@@ -626,6 +666,9 @@ QUERIES: dict[str, Query] = {
     "metric_descendants": _metric_descendants,
     "window_rollup": _window_rollup,
     "csv_roundtrip": _csv_roundtrip,
+    "csv_roundtrip_quoted": _csv_roundtrip_quoted,
+    "store_ingest": _store_ingest,
+    "sync_diff_duplicates": _sync_diff_duplicates,
     "text_records": _text_records,
     "station_plot_records": _station_plot_records,
 }

@@ -2,8 +2,65 @@
 
 from __future__ import annotations
 
-from ..functions import SCORE_CURVES
-from .stations import METRICS, WINDOW, metric_parents
+from .stations import WINDOW
+
+# Fixed values, written out here so that the check does not share them with what it checks:
+# score curves (metric, kind, level, spread) and metrics (id, name, parent, compute type, scale).
+_CURVES = [
+    ("AvailabilityMetric", "percent", None, None),
+    ("GapCountMetric", "above", 0.00274, 0.992),
+    ("MassPositionMetric", "above", 3.52, 10.79),
+    ("TimingQualityMetric", "percent", None, None),
+    ("DeadChannelMetric:4-8", "fraction", None, None),
+    ("CoherencePBM:4-8", "below", 1.0, 0.0377),
+    ("CoherencePBM:18-22", "below", 0.99, 0.12),
+    ("CoherencePBM:90-110", "below", 0.93, 0.0337),
+    ("CoherencePBM:200-500", "below", 0.83, 0.346),
+    ("DifferencePBM:4-8", "away", 0.01, 0.348),
+    ("DifferencePBM:18-22", "away", 0.01, 1.17),
+    ("DifferencePBM:90-110", "away", 0.04, 4.66),
+    ("DifferencePBM:200-500", "away", 0.03, 5.97),
+    ("StationDeviationMetric:4-8", "away", 0.11, 3.32),
+    ("StationDeviationMetric:18-22", "away", 0.17, 2.57),
+    ("StationDeviationMetric:90-110", "away", 0.02, 2.88),
+    ("StationDeviationMetric:200-500", "away", 0.07, 2.9),
+    ("NLNMDeviationMetric:4-8", "above", 3.33, 12.53),
+    ("NLNMDeviationMetric:18-22", "above", 13.41, 12.64),
+    ("NLNMDeviationMetric:90-110", "above", 13.57, 14.79),
+    ("NLNMDeviationMetric:200-500", "above", 20.74, 15.09),
+    ("CalibrationMetric", "age", None, None),
+    ("MeanError", "error", None, None),
+]
+_METRICS = [
+    (1, "AvailabilityMetric", None, 1, 90.0),
+    (2, "GapCountMetric", None, 3, 1.0),
+    (3, "MassPositionMetric", None, 1, 30.0),
+    (4, "TimingQualityMetric", None, 1, 95.0),
+    (5, "DeadChannelMetric:4-8", 25, 1, 1.0),
+    (6, "CoherencePBM:4-8", 25, 1, 1.0),
+    (7, "CoherencePBM:18-22", 6, 1, 1.0),
+    (8, "CoherencePBM:90-110", 7, 1, 1.0),
+    (9, "CoherencePBM:200-500", 8, 1, 1.0),
+    (10, "DifferencePBM:4-8", 25, 1, 1.0),
+    (11, "DifferencePBM:18-22", 10, 1, -1.0),
+    (12, "DifferencePBM:90-110", 11, 1, 10.0),
+    (13, "DifferencePBM:200-500", 12, 1, -10.0),
+    (14, "StationDeviationMetric:4-8", 25, 1, 5.0),
+    (15, "StationDeviationMetric:18-22", 14, 1, -5.0),
+    (16, "StationDeviationMetric:90-110", 15, 1, 5.0),
+    (17, "StationDeviationMetric:200-500", 16, 1, 5.0),
+    (18, "NLNMDeviationMetric:4-8", 25, 1, 60.0),
+    (19, "NLNMDeviationMetric:18-22", 18, 1, 60.0),
+    (20, "NLNMDeviationMetric:90-110", 19, 1, 60.0),
+    (21, "NLNMDeviationMetric:200-500", 20, 1, 60.0),
+    (22, "CalibrationMetric", None, 5, 1.0),
+    (23, "MeanError", None, 3, 0.05),
+    (24, "DayMeanMetric", None, 2, 1.0),
+    (25, "ParentMetric", None, 4, 1.0),
+    (26, "CalMeanMetric", None, 6, 1.0),
+    (27, "NoneMetric", None, 7, 1.0),
+    (28, "UnscoredMetric", None, 1, 1.0),
+]
 
 
 def _num(value: str, digits: int) -> str:
@@ -30,7 +87,7 @@ def _score(value: str, name: str) -> str:
         "error": "100e0 - 500*x",
     }
     branches = []
-    for metric, curve, level, spread in SCORE_CURVES:
+    for metric, curve, level, spread in _CURVES:
         formula = formulas[curve].format(a=level, b=spread).replace("x", f"({value})")
         branches.append(f"when '{metric}' then {formula}")
     raw = f"case {name} {' '.join(branches)} end"
@@ -39,9 +96,9 @@ def _score(value: str, name: str) -> str:
 
 def _metric_rows() -> str:
     rows = []
-    for place, ((name, kind, scale), parent) in enumerate(zip(METRICS, metric_parents()), 1):
+    for place, name, parent, kind, scale in _METRICS:
         up = "null" if parent is None else parent
-        rows.append(f"({place}, '{name}', cast({up} as integer), {kind}, {float(scale)}e0)")
+        rows.append(f"({place}, '{name}', cast({up} as integer), {kind}, {scale}e0)")
     return ", ".join(rows)
 
 
@@ -104,7 +161,9 @@ missing as (
     where s.date = d.date and s.network = d.network and s.station = d.station
       and s.location = d.location and s.channel = d.channel and s.metric = d.metric
       and s.value = d.value and s.hash = d.hash)),
-used as (select metric_id as id, count(*) as n_facts from latest group by 1)
+used as (
+  select m.id, count(l.metric_id) as n_facts
+  from metric m left join latest l on l.metric_id = m.id group by 1)
 """
 
 _IN_WINDOW = f"day between date '{WINDOW[0]}' and date '{WINDOW[1]}'"
@@ -415,3 +474,11 @@ select day || ',' || cast(round(cast(printf('%.14e', v) as decimal(38,22)), 4) a
   as record, count(*) as n
 from ({_STATION_DAYS}) group by 1""",
 }
+
+# The store ends up with what one ingest in memory gives; quoted fields come back as they went;
+# of repeated keys the last row counts.
+ORACLE_SQL["store_ingest"] = ORACLE_SQL["ingest_upsert_numeric"]
+ORACLE_SQL["csv_roundtrip_quoted"] = f"""{_BASE}
+select date, network, station || ',"x", ' as station, ' ' || location as location, channel, metric,
+  value, hash from listing"""
+ORACLE_SQL["sync_diff_duplicates"] = ORACLE_SQL["sync_diff"]

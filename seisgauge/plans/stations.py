@@ -65,15 +65,16 @@ def _lookup(values: list, place: str) -> str:
 
 
 _METRIC = f"cast(l_partkey % {len(METRICS)} + 1 as int)"
-# Order of arrival, (order, line, price) packed into one number. The digest is made of the
-# same three, so the number also serves as the digest's id, and it keeps the last-wins
-# aggregation in the hash aggregate of generated code. Out of range it fails, loudly.
-_CENTS = "cast(round(l_extendedprice * 100) as bigint)"
+# Order of arrival: (order, line, price) in one number of 38 digits, which holds every order key
+# and keeps the last-wins aggregation in the hash aggregate of generated code. A line of 100 000
+# or a price of 10^12 is out of range and fails, loudly.
+_CENTS = "cast(l_extendedprice * 100 as decimal(30,0))"
 _ARRIVAL = f"""
-    case when l_orderkey between 0 and {(1 << 36) - 1} and l_linenumber between 0 and 7
-              and {_CENTS} between 0 and {(1 << 24) - 1}
-         then (l_orderkey * 8 + l_linenumber) * {1 << 24} + {_CENTS}
-         else raise_error('line item outside the range of the packed arrival order') end
+    case when l_orderkey >= 0 and l_linenumber between 0 and 99999
+              and {_CENTS} between 0 and 99999999999999
+         then cast(cast(l_orderkey as decimal(19,0)) * cast('10000000000000000000' as decimal(20,0)) as decimal(38,0))
+              + cast(l_linenumber as decimal(10,0)) * cast('100000000000000' as decimal(15,0)) + {_CENTS}
+         else raise_error('line item outside the range of the arrival order') end
 """
 _RAW = {
     "fkchannelid": "cast((l_suppkey * 2 + l_linenumber % 2) * 3 + l_partkey % 3 + 1 as int)",
@@ -83,7 +84,9 @@ _RAW = {
     "fkcomputetypeid": _lookup([kind for _, kind, _ in METRICS], _METRIC),
     "value": "(l_discount * 10 + l_tax) * "
     + _lookup([float(scale) for _, _, scale in METRICS], _METRIC),
-    "arrival": _ARRIVAL,
+    "arrival": f"cast({_ARRIVAL} as decimal(38,0))",
+    # Stands for what the digest is made of.
+    "hashid": f"xxhash64(l_orderkey, l_linenumber, {_CENTS})",
     "hash": "md5(concat_ws('|', l_orderkey, l_linenumber, cast(l_extendedprice as decimal(12,2))))",
     "station": "concat('S', l_suppkey)",
     "location": _lookup(LOCATIONS, "l_linenumber % 2 + 1"),
@@ -130,7 +133,7 @@ def latest(raw: DataFrame) -> DataFrame:
     """The last raw measurement per key, in the columns of a fact."""
     return (
         raw.groupBy("fkchannelid", "date", "fkmetricid")
-        .agg(F.max_by("value", "arrival").alias("value"), F.max("arrival").alias("fkhashid"))
+        .agg(F.max_by("value", "arrival").alias("value"), F.max_by("hashid", "arrival").alias("fkhashid"))
         .select("fkchannelid", "date", "fkmetricid", "value", "fkhashid")
     )
 
@@ -195,6 +198,6 @@ def station_model(
     model["metricstringdata"] = latest(textual.withColumn("value", F.col("value").cast("string")))
     model["date"] = raw.select(F.col("date").alias("pkdateid"), F.col("day").alias("date")).distinct()
     model["hash"] = raw.select(
-        F.col("arrival").alias("pkhashid"), F.unhex("hash").alias("hash")
+        F.col("hashid").alias("pkhashid"), F.unhex("hash").alias("hash")
     ).distinct()
     return model

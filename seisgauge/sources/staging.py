@@ -6,13 +6,14 @@ cuts the lineage, is computed once, and outlives the executors that wrote it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Folders made up for local sessions that name none, by application.
+# Folders made up for sessions of one process that name none, by application.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -20,9 +21,9 @@ def staging_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # ``local`` and ``local[n]`` run driver and tasks in one process; ``local-cluster`` doesn't.
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    # Local mode only: driver and executors are one process.
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="seisgauge-")

@@ -4,9 +4,11 @@ import datetime as dt
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from seisgauge import functions as S
+from seisgauge.functions.days import as_date
 
 # Metric, then the score of 0.9, -2 and 30.
 GOLDEN_SCORES = [
@@ -147,3 +149,14 @@ def test_records_and_messages(spark):
 def test_hash_bytes(spark):
     found = _map(spark, ["0a", "0A1b", "", "zz", "abc", None], "string", S.hash_bytes)
     assert found == [b"\x0a", b"\x0a\x1b", b"", None, None, None]
+
+
+@pytest.mark.parametrize("text", ["2014-02-05", "2014-2-5", "2014-036"])
+def test_bounds_of_windows(text):
+    assert as_date(text) == dt.date(2014, 2, 5)
+
+
+@pytest.mark.parametrize("text", ["2014-366", "2014-000", "2014", "2014-13-01", "x"])
+def test_what_is_no_bound(text):
+    with pytest.raises(ValueError):
+        as_date(text)

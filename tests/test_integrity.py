@@ -167,3 +167,15 @@ def test_rollup_equals_plain_totals(spark, model, begin, end):
 
 def test_reversed_window_is_empty(model):
     assert scorecard(model, "2014-02-16", "2014-02-15", "channel", (1, 3)).count() == 0
+
+
+def test_long_chains_and_cycles_are_deleted(spark, model):
+    chain = [(i, f"m{i}", i - 1 if i > 1 else None, None, 1, None) for i in range(1, 131)]
+    cycle = [(201, "a", 202, None, 1, None), (202, "b", 201, None, 1, None), (203, "c", 203, None, 1, None)]
+    held = {**model, "metric": small_table(spark, chain + cycle, table_schema("metric"))}
+    held["metricdata"], held["metricstringdata"] = (held[t].limit(0) for t in ("metricdata", "metricstringdata"))
+    rest = integrity.cascade_delete(held, "metric", F.col("pkmetricid").isin(2, 201))
+    assert sorted(r["pkmetricid"] for r in rest["metric"].collect()) == [1, 203]
+    below = integrity.metric_descendants(held)
+    assert below.where("ancestor = 1").agg(F.max("depth"), F.count("*")).first() == (129, 130)
+    assert below.where("ancestor = 201").count() == 2 and below.where("ancestor = 203").count() == 1
