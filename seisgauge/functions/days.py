@@ -26,10 +26,10 @@ def as_date(day: dt.date | str) -> dt.date:
     if not isinstance(day, str):
         return day
     year, *rest = map(int, day.split("-"))
-    if len(rest) == 2:
-        return dt.date(year, *rest)
+    if len(rest) != 1:
+        return dt.date.fromisoformat(day) if len(rest) != 2 else dt.date(year, *rest)
     found = dt.date(year, 1, 1) + dt.timedelta(days=rest[0] - 1)
-    if len(rest) != 1 or found.year != year:
+    if found.year != year:
         raise ValueError(f"not a day: {day}")
     return found
 
