@@ -12,9 +12,10 @@ Documents of equal sets are one class, named by its least doc_id; only classes a
 2. In each bucket every class is compared with the least one (a star, not all pairs). Confirmed
    links join classes to components.
 3. Buckets that still hold several components are looked at again. Where few classes (``FEW``) are
-   outside the largest component, these are compared with the rest of the bucket. A bucket of at
-   most ``GATHERED`` classes goes to one task, which compares those of different components and
-   gives the links that join them. Larger ones are split by sketches of the third collection, again
+   outside the largest component, these are compared with the rest of the bucket. Other buckets
+   whose keys begin with the same sketch of the first collection go to one task together, if
+   they hold ``GATHERED`` classes at most, or else each on its own; the task compares those of
+   different components and gives the links that join them. Larger ones are split by sketches of the third collection, again
    and again; after ``LEVELS`` splits what is left is compared across components whatever its
    size. No bucket is cut off.
 
@@ -125,7 +126,8 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, node, least) of the tables' buckets that hold several classes."""
+    """(key, first, node, least) of the tables' buckets that hold several classes; ``first`` is
+    the part of the key from the first collection."""
     first = classes.select("node", F.posexplode("a").alias("i", "sketch")).select(
         "node", F.xxhash64("i", "sketch").alias("key")
     )
@@ -135,7 +137,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
         used.join(classes.select("node", "b"), "node")
         .select("node", "b", F.explode("firsts").alias("first"))
         .select("node", "first", F.posexplode("b").alias("i", "sketch"))
-        .select("node", F.xxhash64("first", "i", "sketch").alias("key"))
+        .select("node", "first", F.xxhash64("first", "i", "sketch").alias("key"))
         .distinct()
     )
     return _shared(tables)
@@ -209,9 +211,9 @@ def _is_empty(rows: DataFrame) -> bool:
 
 
 def _open(buckets: DataFrame, reached: DataFrame) -> DataFrame:
-    """(key, node, comp, total, main, others) of buckets with several components: the nodes, the
+    """(key, first, node, comp, total, main, others) of buckets with several components: the nodes, the
     largest component (the least of those) and how many nodes are outside it."""
-    rows = _labelled(buckets.select("key", "node"), reached)
+    rows = _labelled(buckets.select("key", "first", "node"), reached)
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
     held = sizes.groupBy("key").agg(
         F.max(F.struct(F.col("n"), (-F.col("comp")).alias("c"))).alias("top"), F.sum("n").alias("total")
@@ -274,6 +276,17 @@ def joining_links(
     return links
 
 
+def _groups(hard: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, node, comp) of groups to gather, and the rows of buckets that are too large. A
+    class is in as many groups as it has sketches in a collection, rather than in all tables."""
+    members = hard.select("first", "node", "comp").distinct()
+    small = members.groupBy("first").agg(F.count("*").alias("n")).where(F.col("n") <= GATHERED).select("first")
+    together = members.join(small, "first").select(F.col("first").alias("key"), "node", "comp")
+    rest = hard.join(small, "first", "left_anti")
+    alone = rest.where(F.col("total") <= GATHERED).select("key", "node", "comp")
+    return together.unionByName(alone), rest.where(F.col("total") > GATHERED)
+
+
 def _gathered(held: DataFrame, bodies: DataFrame, length: int, percent: int) -> DataFrame:
     """Links within buckets of a bounded size, a bucket at a time."""
     parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -311,7 +324,8 @@ def _split(held: DataFrame, classes: DataFrame, level: int) -> DataFrame:
     near = F.pmod(F.col("key"), F.lit(SUBS))
     spots = [F.pmod(near + 2 * level + k, F.lit(SUBS)).cast("int") for k in (0, 1)]
     longer = F.array(*(F.xxhash64("key", F.lit(k), F.col("c")[spots[k]]) for k in (0, 1)))
-    return _shared(rows.select("node", F.explode(longer).alias("key")))
+    split = rows.select("node", F.explode(longer).alias("key"))
+    return _shared(split.withColumn("first", F.col("key")))
 
 
 def near_duplicates(docs: DataFrame, length: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
@@ -344,11 +358,10 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, percent: int = SIMIL
         links = stage(_confirmed(pairs, bodies, length, percent), "confirmed")
         hard = held.where(F.col("others") > FEW)
         if level < LEVELS and not _is_empty(hard):
-            middle = hard.where(F.col("total") <= GATHERED)
-            links = links.unionByName(stage(_gathered(middle, bodies, length, percent), "gathered"))
+            groups, hard = _groups(hard)
+            links = links.unionByName(stage(_gathered(groups, bodies, length, percent), "gathered"))
         reached = components(reached.unionByName(links))
         tested = tested.unionByName(pairs)
-        hard = hard.where(F.col("total") > GATHERED)
         if level == LEVELS or _is_empty(hard):
             break
         buckets = stage(_split(hard, classes, level), "buckets")
