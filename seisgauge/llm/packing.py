@@ -3,8 +3,8 @@
 Documents are dealt into shards by ranges of a lexical signature (the least hash of their token
 ids), so that copies and documents of one vocabulary tend to meet, and a shard has some
 ``SHARD_TOKENS`` tokens whatever repeats: ties are broken by doc_id. Within a shard an inverted
-index with BM25 weights returns, for each seed, the neighbours not used yet, best first. They fill
-the window; the one that doesn't fit is cut, its rest opens the next window and is its seed. If no
+index with BM25 weights returns, for each seed, the neighbours not used yet, best first: all terms
+of the seed that have a positive weight count. They fill the window; the one that doesn't fit is cut, its rest opens the next window and is its seed. If no
 neighbour is left, the next unused document follows. So every window is full but the last of a
 shard, which is cut into sequences of a power of two tokens each and needs no padding either.
 
@@ -33,8 +33,10 @@ from .tokens import IDS, Encoder
 
 #: Tokens of a shard, about.
 SHARD_TOKENS = 4_000_000
-#: BM25: saturation of term counts, weight of the length, terms of a seed that make its query.
-K1, B, QUERY_TERMS = 1.2, 0.75, 64
+#: BM25: saturation of term counts, weight of the length.
+K1, B = 1.2, 0.75
+#: Neighbours sorted at first; further ones as they are asked for, four times as many each time.
+SORTED = 64
 
 ENCODED_SCHEMA = "doc_id long, signature long, n_tokens long, ids binary"
 PIECE_SCHEMA = (
@@ -86,22 +88,42 @@ class Bm25:
         scale = K1 * (1 - B + B * length / max(length.mean(), 1)) if self.n else length
         self.weight = np.repeat(self.idf, self.sizes) * count * (K1 + 1) / (count + scale[self.doc])
         self.own = [np.searchsorted(self.terms, t) for t, _ in counted]
+        self.names = np.arange(self.n)
 
-    def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term of the seed's query, best first."""
+    def neighbours(self, seed: int, used: np.ndarray) -> Iterator[int]:
+        """Unused documents that share a term of positive weight with the seed, best first, ties
+        in the order of the documents."""
+        self._shrink(used)
         terms = self.own[seed]
-        terms = terms[self.idf[terms] > 0]
-        if terms.size > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
-        sizes = self.sizes[terms]
-        ends = np.cumsum(sizes)
-        if not ends.size:
-            return np.zeros(0, np.int64)
-        spots = np.arange(ends[-1]) + np.repeat(self.first[terms] - ends + sizes, sizes)
-        scores = np.bincount(self.doc[spots], self.weight[spots], self.n)
-        scores[used] = 0
+        terms = terms[(self.idf[terms] > 0) & (self.sizes[terms] > 0)]
+        if not terms.size:
+            return
+        begins = self.first[terms].tolist()
+        spans = [slice(at, at + n) for at, n in zip(begins, self.sizes[terms].tolist())]
+        rows = np.concatenate([self.doc[span] for span in spans])
+        scores = np.bincount(rows, np.concatenate([self.weight[span] for span in spans]), self.names.size)
+        scores[used[self.names]] = 0
         found = np.flatnonzero(scores > 0)
-        return found[np.argsort(-scores[found], kind="stable")]
+        ranks, size = -scores[found], SORTED
+        while found.size:
+            best = np.ones(found.size, bool)
+            if found.size > size:
+                best = ranks <= np.partition(ranks, size)[size]
+            yield from self.names[found[best][np.argsort(ranks[best], kind="stable")]].tolist()
+            found, ranks, size = found[~best], ranks[~best], 4 * size
+
+    def _shrink(self, used: np.ndarray) -> None:
+        """Postings without used documents, once these are half. The weights stay as they are."""
+        live = ~used[self.names]
+        if 2 * np.count_nonzero(live) > live.size:
+            return
+        held = live[self.doc]
+        before = np.concatenate([[0], np.cumsum(held)])
+        ends = before[self.first + self.sizes]
+        self.first = before[self.first]
+        self.sizes = ends - self.first
+        self.doc, self.weight = (np.cumsum(live) - 1)[self.doc[held]], self.weight[held]
+        self.names = self.names[live]
 
 
 def retrieval_order(docs: list[np.ndarray], lengths: np.ndarray, window: int) -> list[int]:
@@ -128,8 +150,8 @@ def retrieval_order(docs: list[np.ndarray], lengths: np.ndarray, window: int) ->
             if at == 0:
                 continue
         for doc in index.neighbours(seed, used):
-            if take(int(doc)):
-                seed = int(doc)
+            if take(doc):
+                seed = doc
                 break
         else:
             seed = None

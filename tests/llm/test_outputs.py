@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from seisgauge.llm.output_queries import TOKENIZER
-from seisgauge.llm.packing import cuts, pack, retrieval_order
+from seisgauge.llm.packing import Bm25, cuts, pack, retrieval_order
 from seisgauge.llm.token_files import read_token_files, token_index, with_global_starts, write_token_files
 from seisgauge.llm.tokens import Encoder
 from seisgauge.sources.staging import staging_path
@@ -122,3 +122,30 @@ def test_neighbours_fill_the_window():
 def test_cuts():
     assert cuts(4096 * 2 + 5, 4096).tolist() == [0, 4096, 8192, 8196, 8197]
     assert cuts(0, 4096).tolist() == [0]
+
+
+def test_all_terms_of_a_seed_count():
+    """Plain BM25 over a long seed: its rarest terms are in no other document."""
+    rng = np.random.default_rng(3)
+    docs = [np.concatenate([rng.integers(0, 400, 150), np.arange(1000 * i, 1000 * i + 100)]) for i in range(1, 9)]
+    docs += [rng.integers(0, 400, 3) for _ in range(150)]
+    docs = [ids.astype(np.uint32) for ids in docs]
+    index, used = Bm25(docs), np.zeros(len(docs), bool)
+    counts = [Counter(ids.tolist()) for ids in docs]
+    held = Counter(term for count in counts for term in count)
+    mean = sum(ids.size for ids in docs) / len(docs)
+
+    def score(seed: int, doc: int) -> float:
+        total = 0.0
+        for term in counts[seed].keys() & counts[doc].keys():
+            idf = np.log((len(docs) - held[term] + 0.5) / (held[term] + 0.5))
+            n = counts[doc][term]
+            total += max(idf, 0) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * docs[doc].size / mean))
+        return total
+
+    for seed in range(8):
+        used[[seed, *rng.integers(8, len(docs), 25)]] = True
+        scores = {d: score(seed, d) for d in np.flatnonzero(~used).tolist()}
+        found = list(index.neighbours(seed, used))
+        assert set(found) == {d for d, s in scores.items() if s > 0}
+        assert np.allclose([scores[d] for d in found], sorted((s for s in scores.values() if s > 0), reverse=True))
