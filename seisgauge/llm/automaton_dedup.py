@@ -37,6 +37,8 @@ from .segments import (
     Units,
     alike,
     batch_of,
+    by_size,
+    by_window,
     candidates,
     fingerprint_groups,
     fingerprints,
@@ -49,7 +51,7 @@ from .word_hashes import run_hashes, word_hashes
 
 #: Words of a window, and of the grams of fingerprints.
 WINDOW, GRAM = 13, 6
-#: Words of a shard, about.
+#: Words of a shard, about; the bodies of a fingerprint that has more go by their windows.
 SHARD_WORDS = 300_000
 
 FOUND_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>, least array<long>"
@@ -168,7 +170,14 @@ def _found(bodies: list[tuple[Body, np.ndarray]]) -> pa.RecordBatch:
     return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 5)
 
 
-def _least_by_window(found: DataFrame, window: int) -> DataFrame:
+def _windows(body: bytes, window: int) -> list[bytes]:
+    held = body.split(b" ")
+    return [b" ".join(held[at : at + window]) for at in range(len(held) - window + 1)]
+
+
+def _least_by_window(found: DataFrame, units: Units) -> DataFrame:
+    window = units.window
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Body] = []
         size = 0
@@ -192,7 +201,11 @@ def _least_by_window(found: DataFrame, window: int) -> DataFrame:
         if held:
             yield settle()
 
-    return grouped(found, sights=2).mapInArrow(run, FOUND_SCHEMA)
+    small, large = by_size(found, units, SHARD_WORDS)
+    least = grouped(small, sights=2).mapInArrow(run, FOUND_SCHEMA)
+    if large is None:
+        return least
+    return least.unionByName(by_window(large, 2, lambda body: _windows(body, window)))
 
 
 def _described(held: list[bytes]) -> tuple[int, str]:
@@ -209,7 +222,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     cut = stage(segments(held, units), "segments")
     ranges = (
         cut.select("doc_no", "number", "at", "print", "body_hash")
-        .join(_least_by_window(cut, window), ["print", "body_hash"])
+        .join(_least_by_window(cut, units), ["print", "body_hash"])
         .select("doc_no", "number", "at", F.explode(F.arrays_zip("starts", "ends", "least")).alias("x"))
         .where("x.least < number")
         .groupBy("doc_no", "number")

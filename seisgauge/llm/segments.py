@@ -14,9 +14,12 @@ The steps, each a Spark job over all documents:
 3. ``candidates``: documents with shared fingerprints, with their text. Of documents of the same
    units only the first is taken, its copies need no look;
 4. ``segments``: their segments. Each task gives the body of a segment where it first sees it;
-5. ``grouped``: the bodies, dealt by fingerprint, for the work of an operator. Bodies that occur
-   often come once from each task at most;
-6. the operator's findings on bodies go back to the documents by a join on the bodies' hash.
+5. ``by_size``: fingerprints whose bodies are too many for a task are set apart;
+6. ``grouped``: the bodies of the others, dealt by fingerprint, for the work of an operator. Bodies
+   that occur often come once from each task at most;
+7. ``by_window``: the bodies set apart are cut into their windows, and these are counted by the
+   hash of the whole window, so no task holds a fingerprint;
+8. the operator's findings on bodies go back to the documents by a join on the bodies' hash.
 
 Documents are known by ``doc_no``, a hash of id and text, and ``number``, the id or a number above
 all ids, so repeated rows and null ids work. Bodies are known by fingerprint and a hash.
@@ -34,6 +37,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seisgauge.sources.staging import stage
+
 from .inputs import texts
 
 #: Windows of a segment at most: a long run of one fingerprint (a text of one letter) is cut.
@@ -47,6 +52,8 @@ FINGERPRINT_SCHEMA = (
     "bucket int, entries binary"
 )
 LISTED_SCHEMA = "doc_no long, prints array<long>"
+WINDOW_SCHEMA = "print long, body_hash long, copies long, least long, place int, key binary"
+RUN_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>, least array<long>"
 SEGMENT_SCHEMA = (
     "doc_no long, number long, at long, n long, print long, body_hash long, body binary, sight int"
 )
@@ -265,6 +272,59 @@ def segments(held: DataFrame, units: Units) -> DataFrame:
     return dealt.select("doc_no", "number", "text", "shared").mapInArrow(run, SEGMENT_SCHEMA)
 
 
+def by_size(found: DataFrame, units: Units, bound: int) -> tuple[DataFrame, DataFrame | None]:
+    """The segments of fingerprints whose bodies have ``bound`` units at most, and those of the
+    others, if there are any. A body counts once for each task that saw it."""
+    sizes = found.where("sight = 1").groupBy("print").agg(F.sum(F.col("n") + (units.window - 1)).alias("size"))
+    large = stage(sizes.where(F.col("size") > bound).select("print"), "large")
+    if not large.take(1):
+        return found, None
+    # No more than all units by the bound.
+    few = F.broadcast(large)
+    return found.join(few, "print", "left_anti"), found.join(few, "print", "left_semi")
+
+
+def by_window(found: DataFrame, sights: int, windows: Callable[[bytes], list[bytes]]) -> DataFrame:
+    """For each body of the segments, the runs of its windows that stand in several places, with
+    the least document of each run. ``windows`` cuts a body. Windows are told apart by 128 bits."""
+    bodies = (
+        found.where(F.col("sight") <= sights)
+        .groupBy("print", "body_hash")
+        .agg(F.count("*").alias("copies"), F.min("number").alias("least"), F.max("body").alias("body"))
+    )
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = (batch.column(c).to_pylist() for c in ("print", "body_hash", "copies", "least"))
+            for *numbers, body in zip(*names, batch.column("body")):
+                keys = [xxhash.xxh3_128_digest(held) for held in windows(body.as_py())]
+                columns = [[number] * len(keys) for number in numbers]
+                yield batch_of(WINDOW_SCHEMA, [*columns, list(range(len(keys))), keys])
+
+    def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for value, digest, held in zip(*(batch.column(c).to_pylist() for c in ("print", "body_hash", "places"))):
+                held = sorted((x["place"], x["least"]) for x in held)
+                first = [k for k, (at, least) in enumerate(held) if not k or (at - 1, least) != held[k - 1]]
+                last = [k - 1 for k in [*first[1:], len(held)]]
+                starts, least = zip(*(held[k] for k in first))
+                rows.append((value, digest, starts, [held[k][0] + 1 for k in last], least))
+            yield batch_of(RUN_SCHEMA, list(zip(*rows)) or [()] * 5)
+
+    each = stage(bodies.select("print", "body_hash", "copies", "least", "body").mapInArrow(cut, WINDOW_SCHEMA), "windows")
+    # Combined in each task first, so a window of all documents is a row per task.
+    several = each.groupBy("key").agg(F.sum("copies").alias("n"), F.min("least").alias("first")).where("n > 1")
+    return (
+        each.select("print", "body_hash", "place", "key")
+        .join(several.select("key", "first"), "key")
+        .groupBy("print", "body_hash")
+        # A body has LONGEST windows at most.
+        .agg(F.collect_list(F.struct("place", F.col("first").alias("least"))).alias("places"))
+        .mapInArrow(joined, RUN_SCHEMA)
+    )
+
+
 def grouped(found: DataFrame, sights: int) -> DataFrame:
     """The segments with at most so many sights in their task, dealt and sorted by fingerprint and
     body, those with the body itself first."""

@@ -39,6 +39,8 @@ from .segments import (
     Units,
     alike,
     batch_of,
+    by_size,
+    by_window,
     candidates,
     fingerprint_groups,
     fingerprints,
@@ -52,7 +54,8 @@ from .word_hashes import mixed
 
 #: Bytes of a repeat, and of the grams of fingerprints.
 REPEAT, GRAM = 200, 64
-#: Bytes of bodies merged at once, about, and the shards they form.
+#: Bytes of bodies merged at once, about, and the shards they form. The bodies of a fingerprint that
+#: has more go by their windows.
 MERGED, SHARDS = 2_000_000, 8
 
 FOUND_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>"
@@ -186,8 +189,9 @@ def _found(bodies: list[tuple[Body, np.ndarray]]) -> pa.RecordBatch:
     return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 4)
 
 
-def _repeats(found: DataFrame, depth: int, gram: int) -> DataFrame:
+def _repeats(found: DataFrame, units: Units) -> DataFrame:
     """For each body, the runs of its windows that are repeats."""
+    depth, gram = units.window, units.gram
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Body] = []
@@ -212,7 +216,12 @@ def _repeats(found: DataFrame, depth: int, gram: int) -> DataFrame:
         if held:
             yield settle()
 
-    return grouped(found, sights=2).mapInArrow(run, FOUND_SCHEMA)
+    small, large = by_size(found, units, MERGED)
+    repeats = grouped(small, sights=2).mapInArrow(run, FOUND_SCHEMA)
+    if large is None:
+        return repeats
+    windows = by_window(large, 2, lambda body: [body[at : at + depth] for at in range(len(body) - depth + 1)])
+    return repeats.unionByName(windows.drop("least"))
 
 
 def _described(held: bytes) -> tuple[int, str]:
@@ -229,7 +238,7 @@ def remove_repeats(docs: DataFrame, repeat: int = REPEAT, gram: int = GRAM, with
     cut = stage(segments(held, units), "segments")
     ranges = (
         cut.select("doc_no", "number", "at", "print", "body_hash")
-        .join(_repeats(cut, repeat, gram), ["print", "body_hash"])
+        .join(_repeats(cut, units), ["print", "body_hash"])
         .select("doc_no", "number", "at", F.explode(F.arrays_zip("starts", "ends")).alias("x"))
         .groupBy("doc_no", "number")
         # A document's own ranges, so no more than it has bytes.

@@ -36,6 +36,41 @@ def test_passages(spark, seed):
     assert counted(found.select("doc_id", "n_words", "n_removed", "n_spans", "kept_sha256")) == brute.passages(docs)
 
 
+@pytest.mark.parametrize("operator", ["op1", "op5"])
+def test_a_phrase_with_many_neighbours(spark, monkeypatch, operator):
+    """A phrase in a third of all documents gives one fingerprint many bodies: no task merges more
+    than the bound, or builds an automaton of more."""
+    from seisgauge.llm import automaton_dedup, suffix_dedup
+
+    name, bound, module = ("MERGED", 3000, suffix_dedup) if operator == "op1" else ("SHARD_WORDS", 200, automaton_dedup)
+    monkeypatch.setattr(module, name, bound)
+    if operator == "op1":
+
+        def held(bodies, depth, merge=suffix_dedup.repeated_windows):
+            assert sum(map(len, bodies)) <= 2 * 3000, "too much for one merge"
+            return merge(bodies, depth)
+
+        monkeypatch.setattr(module, "repeated_windows", held)
+    else:
+
+        def built(bodies, window, build=automaton_dedup.least_documents):
+            assert sum(body.count(b" ") + 1 for body, _ in bodies) <= 2 * 200, "too much for one automaton"
+            return build(bodies, window)
+
+        monkeypatch.setattr(module, "least_documents", built)
+    chance = random.Random(11)
+    phrase = odd.prose(chance, 200)[:150] if operator == "op1" else " ".join(odd.prose(chance, 40).split()[:10])
+    ends = [odd.prose(chance, 40) for _ in range(6)]
+    texts = [f"{odd.prose(chance, 60)} {phrase} {odd.prose(chance, 60) if k % 3 else chance.choice(ends)}" for k in range(80)]
+    texts += [odd.prose(chance, 80) for _ in range(160)] + texts[:2]
+    docs = [(i, text, None, None, None) for i, text in enumerate(texts)] + odd.rows(5)
+    frame = odd.documents(spark, docs)
+    if operator == "op1":
+        assert counted(remove_repeats(frame)) == brute.repeats(docs)
+    else:
+        assert counted(remove_passages(frame)) == brute.passages(docs)
+
+
 @pytest.mark.parametrize("length", [4, 5])
 def test_near_duplicates(spark, length):
     docs = odd.rows(3)
