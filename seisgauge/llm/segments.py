@@ -313,8 +313,10 @@ def by_window(found: DataFrame, sights: int, windows: Callable[[bytes], list[byt
             yield batch_of(RUN_SCHEMA, list(zip(*rows)) or [()] * 5)
 
     each = stage(bodies.select("print", "body_hash", "copies", "least", "body").mapInArrow(cut, WINDOW_SCHEMA), "windows")
-    # Combined in each task first, so a window of all documents is a row per task.
-    several = each.groupBy("key").agg(F.sum("copies").alias("n"), F.min("least").alias("first")).where("n > 1")
+    # Combined in each task first, so a window of all documents is a row per task. Staged, so that
+    # adaptive execution can split such a window in the join.
+    known = each.groupBy("key").agg(F.sum("copies").alias("n"), F.min("least").alias("first"))
+    several = stage(known.where("n > 1"), "several")
     return (
         each.select("print", "body_hash", "place", "key")
         .join(several.select("key", "first"), "key")
