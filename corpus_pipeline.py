@@ -4,9 +4,10 @@ packing.
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept. All but the
 last return the columns of ``docs``; the last returns the pieces of the packed sequences.
 
-Nulls and odd rows: documents without an id are judged by their text alone; near duplicates and
-benchmark passages, which are dropped by id, leave them. Rows of one id that are kept all stay. An
-empty table gives no pieces.
+Nulls and odd rows: documents without an id are judged by their text alone, and come last among near
+duplicates. Each row has its own verdict on near duplicates and benchmark passages: of repeated rows
+one stays, and rows of one id with different texts don't share a verdict. An empty table gives no
+pieces.
 """
 
 from __future__ import annotations
@@ -27,8 +28,24 @@ from seisgauge.sources.staging import stage
 END_ID = 2
 
 
+ROW = "_row"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a number each, in the order of doc_id, nulls last."""
+    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.xxhash64("text")]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return stage(dealt.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def _by_row(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col(ROW).alias("doc_id"), "text")
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rest = docs.join(dropped.select(F.col("doc_id").alias(ROW)), ROW, "left_anti")
+    return rest.drop(ROW)
 
 
 @shipped
@@ -41,14 +58,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @shipped
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each group of near duplicates."""
-    return _without(docs, near_duplicates(docs).where("not kept"))
+    rows = _numbered(docs)
+    return _without(rows, near_duplicates(_by_row(rows)).where("not kept")).select(*docs.columns)
 
 
 @shipped
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, findings(docs, benchmark).where("n_items > 0"))
+    # Rows of one id and text have one verdict.
+    rows = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+    return _without(rows, findings(_by_row(rows), benchmark).where("n_items > 0")).select(*docs.columns)
 
 
 @shipped

@@ -158,3 +158,26 @@ def test_pipeline_of_odd_rows(spark):
     for _, function in corpus_pipeline.STAGES:
         rows = corpus_pipeline.stage(function(spark, rows, SF), "empty")
     assert rows.count() == 0
+
+
+def test_pipeline_judges_each_row(spark):
+    """Null and repeated ids: near copies and benchmark passages go, whatever their ids."""
+    chance = random.Random(12)
+    base, other, clean = odd.prose(chance, 120), odd.prose(chance, 120), odd.prose(chance, 120)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    given = [
+        (9, base), (4, base), (4, base), (None, odd.changed(chance, base, 1)),
+        (None, other), (None, other), (4, clean), (7, item), (None, item), (8, None), (None, None),
+    ]
+    frame = odd.documents(spark, [(i, text, None, None, None) for i, text in given])
+    rows = corpus_pipeline.deduplicate(spark, frame, SF)
+    assert rows.columns == frame.columns
+    found = Counter((r["doc_id"], r["text"]) for r in rows.collect())
+    assert found == Counter([(4, base), (None, other), (4, clean), (7, item), (8, None), (None, None)])
+    given = [(4, clean), (4, item), (None, item), (None, other), (5, None), (None, None)]
+    frame = odd.documents(spark, [(i, text, None, None, None) for i, text in given])
+    rows = corpus_pipeline.decontaminate(spark, frame, SF)
+    assert rows.columns == frame.columns
+    assert Counter((r["doc_id"], r["text"]) for r in rows.collect()) == Counter(
+        [(4, clean), (None, other), (5, None), (None, None)]
+    )
