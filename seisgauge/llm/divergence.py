@@ -141,6 +141,8 @@ def _kept_terms(counts: DataFrame, least_documents: int) -> DataFrame:
     return (
         terms.join(blocks, "lang")
         .withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
+        # By block, too: the join's partitioning by language would do for the window.
+        .repartition("lang", "block")
         .select("lang", "term", "block", (F.row_number().over(in_block) - 1).alias("id"), "total")
     )
 
