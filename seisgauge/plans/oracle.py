@@ -466,6 +466,20 @@ from below join used using (id) group by ancestor""",
 select f.sid as id, metric_id as fkmetricid, {_num("sum(value)", 4)} as total,
   count(*) as readings
 from fact f join path p on p.ch = f.ch where {_IN_WINDOW} and not ignored
+group by f.sid, metric_id""",
+    "stored_rollup": f"""{_BASE},
+arrived as (
+  select *, case l_linestatus when 'O' then 1 else 0 end as batch from named where kind <> 5
+  union all
+  select * replace (value * 2 as value), 2 from named
+  where kind <> 5 and l_linestatus = 'O' and hash[1:1] < '5'),
+held as (
+  select * from arrived
+  qualify row_number() over (partition by metric_id, date, ch order by batch desc, {_ORDER}) = 1)
+select f.sid as id, metric_id as fkmetricid, {_num("sum(value)", 4)} as total,
+  count(*) as readings
+from held f join path p on p.ch = f.ch
+where day between date '1992-03-05' and date '1998-09-17' and not ignored
 group by f.sid, metric_id""",
     "csv_roundtrip": f"{_BASE}\nselect * from listing",
     "text_records": f"{_BASE}\n{_RECORDS}",
