@@ -22,7 +22,7 @@ from ..operators.listing import hash_listing
 from ..operators.plots import channel_plots, station_plots
 from ..operators.rollup import rollup_windows, stored_window_totals, window_totals
 from ..operators.scorecards import compute_type_status, scorecard
-from ..operators.sync import diff, differences_per_day
+from ..operators.sync import diff, diff_models, differences_per_day
 from ..operators.windows import channel_paths, metric_names
 from ..schemas import (
     AVERAGE,
@@ -276,16 +276,29 @@ def _ingest_upsert_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named_facts(_ingest_second_half(spark, sf_dir, True).model, "metricstringdata")
 
 
-def _ingest_everything(spark: SparkSession, sf_dir: str) -> IngestResult:
-    """All numeric measurements into a model that knows nothing but the regions."""
+def _ingest_both(model: Model, rows: DataFrame) -> Model:
+    """The model after the numeric rows of a batch and then its calibrations came in."""
+    for text_values in (False, True):
+        model = ingest(model, rows.where(_kind(text_values)), text_values).model
+    return model
+
+
+def _ingest_everything(spark: SparkSession, sf_dir: str) -> Model:
+    """All measurements into a model that knows nothing but the regions."""
     model = blank_model(spark)
     model["group"] = station_model(spark, sf_dir)["group"].where(F.col("fkgrouptypeid") == 4)
-    rows = measurements(spark, sf_dir)
-    return ingest(model, rows.where(_kind(False)))
+    return _ingest_both(model, measurements(spark, sf_dir))
+
+
+def _ingest_open_half(spark: SparkSession, sf_dir: str) -> Model:
+    """All open line items on top of the filled ones."""
+    raw = raw_measurements(spark, sf_dir)
+    state = station_model(spark, sf_dir, raw.where(F.col("l_linestatus") == "F"))
+    return _ingest_both(state, measurements(spark, sf_dir).where(F.col("l_linestatus") == "O"))
 
 
 def _ingest_new_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _ingest_everything(spark, sf_dir).model
+    model = _ingest_everything(spark, sf_dir)
     station = model["station"].join(
         model["group"].select(F.col("pkgroupid").alias("fknetworkid"), F.col("name").alias("up")),
         "fknetworkid",
@@ -316,7 +329,7 @@ def _ingest_new_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Are the ids handed out dense and unique? One line per table."""
-    model = _ingest_everything(spark, sf_dir).model
+    model = _ingest_everything(spark, sf_dir)
 
     def summary(name: str, key: str) -> DataFrame:
         return model[name].agg(
@@ -341,7 +354,7 @@ def _ingest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingest_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _ingest_second_half(spark, sf_dir, False).model
+    model = _ingest_open_half(spark, sf_dir)
     return (
         model["stationgrouptie"]
         .join(
@@ -361,7 +374,7 @@ def _ingest_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingest_second_half(spark, sf_dir, False).model["date"].select("pkdateid", "date")
+    return _ingest_open_half(spark, sf_dir)["date"].select("pkdateid", "date")
 
 
 def _soiled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,6 +468,21 @@ def _sync_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return differences_per_day(_sync_diff(spark, sf_dir), BEGIN, END)
 
 
+def _sync_diff_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stores that keep checksums: all numeric measurements, and half of them with a part of
+    the others ingested on top."""
+    roots = [staging_path(spark, "store") for _ in range(2)]
+    raw = raw_measurements(spark, sf_dir)
+    filled = station_model(spark, sf_dir, raw.where(F.col("l_linestatus") == "F"))
+    for root, model in zip(roots, (station_model(spark, sf_dir), filled)):
+        save_model(spark, model, root, block_days=1000, checksums=True)
+    rows = measurements(spark, sf_dir).where((F.col("l_linestatus") == "O") & _kind(False))
+    batch = rows.where(F.substring("hash", 1, 1) < "5")
+    commit_ingest(spark, ingest(load_model(spark, roots[1]), batch), roots[1])
+    source, destination = (load_model(spark, root) for root in roots)
+    return diff_models(source, destination, None, None)
+
+
 def _sync_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences before and after the destination ingested the first ones."""
     source = _listing(spark, sf_dir)
@@ -571,7 +599,7 @@ def _window_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumn("total", round_numeric(F.col("total"), 4))
 
 
-LONG_WINDOW = ("1992-03-05", "1998-09-17")
+LONG_WINDOW = ("1995-03-05", "2001-09-17")
 
 
 def _corrections(rows: DataFrame) -> DataFrame:
@@ -627,7 +655,11 @@ def _store_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeated = integrity.check_uniques(model).first()
     if repeated is not None:
         raise RuntimeError(f"the store repeats {repeated}")
-    return _named_facts(model, "metricdata")
+    numeric, text = (
+        _named_facts(model, name).withColumn("fact_table", F.lit(name))
+        for name in ("metricdata", "metricstringdata")
+    )
+    return numeric.unionByName(text)
 
 
 def _text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -678,6 +710,7 @@ QUERIES: dict[str, Query] = {
     "ingest_error_log": _ingest_error_log,
     "hash_listing_wildcard": _hash_listing_wildcard,
     "sync_diff": _sync_diff,
+    "sync_diff_stored": _sync_diff_stored,
     "sync_days": _sync_days,
     "sync_closure": _sync_closure,
     "check_unique": _check_unique,

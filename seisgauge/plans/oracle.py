@@ -357,27 +357,27 @@ left join (select cast(l_shipdate as date) as day, count(*) as n from lineitem g
     "ingest_new_dimensions": f"""{_BASE}
 select distinct level, name from (
   select 'group' as level, r_name || '.4' as name from region
-  union all select 'group', network || '.1' from named where kind <> 5
-  union all select 'station', network || '.' || station from named where kind <> 5
-  union all select 'sensor', station || '.' || location from named where kind <> 5
+  union all select 'group', network || '.1' from named
+  union all select 'station', network || '.' || station from named
+  union all select 'sensor', station || '.' || location from named
   union all select 'channel', network || '.' || station || '.' || location || '.' || channel
-    from named where kind <> 5
-  union all select 'metric', metric || '.1' from named where kind <> 5
-  union all select 'date', date || '.' || day from named where kind <> 5)""",
+    from named
+  union all select 'metric', metric || '.1' from named
+  union all select 'date', date || '.' || day from named)""",
     "ingest_ids": f"""{_BASE}
 select table_name, n, n as ids, cast(1 as bigint) as lowest, n as highest from (
-  select 'station' as table_name, count(distinct station) as n from named where kind <> 5
-  union all select 'sensor', count(distinct (station, location)) from named where kind <> 5
-  union all select 'channel', count(distinct ch) from named where kind <> 5
-  union all select 'metric', count(distinct metric) from named where kind <> 5
-  union all select 'hash', count(distinct hash) from named where kind <> 5)""",
+  select 'station' as table_name, count(distinct station) as n from named
+  union all select 'sensor', count(distinct (station, location)) from named
+  union all select 'channel', count(distinct ch) from named
+  union all select 'metric', count(distinct metric) from named
+  union all select 'hash', count(distinct hash) from named)""",
     "ingest_ties": f"""{_BASE}
 select distinct group_name, station from (
   select g.name as group_name, st.name as station
   from tie join grp g on g.id = gid join station st on st.id = sid
-  union all select network, station from named where l_linestatus = 'O' and kind <> 5)""",
+  union all select network, station from named where l_linestatus = 'O')""",
     "ingest_dates": f"""{_BASE}
-select distinct date as pkdateid, day as date from raw where l_linestatus = 'F' or kind <> 5""",
+select distinct date as pkdateid, day as date from raw""",
     "ingest_quarantine": f"""{_BASE}
 select * from ({_REJECTED}) where problem is not null""",
     "ingest_error_log": f"""{_BASE}
@@ -388,6 +388,20 @@ from ({_REJECTED}) where problem = 'non numeric value' group by 1""",
 select * from listing
 where channel like 'BH_' and metric like 'Coherence%' and network like 'NATION_1%'""",
     "sync_diff": f"{_BASE}\nselect * from missing",
+    "sync_diff_stored": f"""{_BASE},
+held as (
+  select * from named where l_linestatus = 'F' or hash[1:1] < '5'
+  qualify row_number() over (
+    partition by metric_id, date, ch order by l_linestatus = 'O' desc, {_ORDER}) = 1),
+held_listing as (
+  select cast(day as varchar) as date, network, station, location, channel, metric,
+         printf('%.15g', value) as value, hash
+  from held where kind <> 5)
+select s.* from listing s where not exists (
+  select 1 from held_listing d
+  where s.date = d.date and s.network = d.network and s.station = d.station
+    and s.location = d.location and s.channel = d.channel and s.metric = d.metric
+    and s.value = d.value and s.hash = d.hash)""",
     "sync_days": f"""{_BASE}
 select cast(d.day as date) as day, coalesce(n, 0) as differences
 from generate_series(date '{WINDOW[0]}', date '{WINDOW[1]}', interval 1 day) d(day)
@@ -479,7 +493,7 @@ held as (
 select f.sid as id, metric_id as fkmetricid, {_num("sum(value)", 4)} as total,
   count(*) as readings
 from held f join path p on p.ch = f.ch
-where day between date '1992-03-05' and date '1998-09-17' and not ignored
+where day between date '1995-03-05' and date '2001-09-17' and not ignored
 group by f.sid, metric_id""",
     "csv_roundtrip": f"{_BASE}\nselect * from listing",
     "text_records": f"{_BASE}\n{_RECORDS}",
@@ -491,7 +505,10 @@ from ({_STATION_DAYS}) group by 1""",
 
 # The store ends up with what one ingest in memory gives; quoted fields come back as they went;
 # of repeated keys the last row counts.
-ORACLE_SQL["store_ingest"] = ORACLE_SQL["ingest_upsert_numeric"]
+ORACLE_SQL["store_ingest"] = f"""{_BASE}
+select day, network, station, location, channel, metric, {_num("value", 6)} as value, hash,
+  case kind when 5 then 'metricstringdata' else 'metricdata' end as fact_table
+from half"""
 ORACLE_SQL["csv_roundtrip_quoted"] = f"""{_BASE}
 select date, network, station || ',"x", ' as station, ' ' || location as location, channel, metric,
   value, hash from listing"""
