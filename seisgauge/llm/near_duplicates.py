@@ -28,7 +28,8 @@ Words are lower-cased A-Z and shingles compared by 64-bit hashes.
 
 Nulls and odd rows: a null or blank text has no shingles and is linked with nothing. Fewer words
 than a shingle are one shingle. Repeated rows are in one class; rows that share a doc_id but not
-their text count as linked. A null doc_id is passed over: its row is kept and has no component.
+their text count as linked: their classes are linked, and classes of one name are compared by all of
+their texts. A null doc_id is passed over: its row is kept and has no component.
 An empty table works. Extra columns are left behind.
 """
 
@@ -178,7 +179,7 @@ def _confirmed(pairs: DataFrame, bodies: DataFrame, length: int, percent: int) -
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, head = None, np.zeros(0, np.uint64)
+        at, heads = None, []
         for batch in batches:
             found = []
             for center, share, node, text in zip(
@@ -187,10 +188,11 @@ def _confirmed(pairs: DataFrame, bodies: DataFrame, length: int, percent: int) -
                 held = shingles(text.as_py(), length)
                 if node == center:
                     # Further texts of the same id count as linked without a look.
-                    at, head = (center, share), held
-                    continue
-                same = np.intersect1d(head, held, assume_unique=True).size
-                if at == (center, share) and 100 * same >= percent * (head.size + held.size - same):
+                    if at != (center, share):
+                        at, heads = (center, share), []
+                    if not any(np.array_equal(held, head) for head in heads):
+                        heads.append(held)
+                elif at == (center, share) and any(_alike(head, held, percent) for head in heads):
                     found.append((center, node))
             u, v = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
@@ -200,6 +202,20 @@ def _confirmed(pairs: DataFrame, bodies: DataFrame, length: int, percent: int) -
     return rows.select("center", "share", "node", "text").mapInArrow(run, EDGE_SCHEMA)
 
 
+def _alike(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    same = np.intersect1d(one, other, assume_unique=True).size
+    return 100 * same >= percent * (one.size + other.size - same)
+
+
+def _of_one_id(named: DataFrame, least: DataFrame) -> DataFrame:
+    """Links (u, v) between the classes that have a doc_id in common."""
+    repeated = named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    held = named.select("doc_id", "set_key").join(repeated, "doc_id", "left_semi").join(least, "set_key")
+    first = held.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("_last"))
+    both = held.join(first.where("v < _last"), "doc_id")
+    return both.select(F.col("node").alias("u"), "v").where("u <> v").distinct()
+
+
 def _labelled(rows: DataFrame, reached: DataFrame) -> DataFrame:
     """``rows`` with ``comp``: the component of the node so far."""
     comp = reached.select(F.col("u").alias("node"), F.col("v").alias("_v"))
@@ -338,6 +354,8 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, percent: int = SIMIL
     least = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("node")), "classes")
     classes = stage(
         named.withColumnRenamed("doc_id", "node").join(least, ["set_key", "node"])
+        # Repeated rows of the least document are one.
+        .dropDuplicates(["node", "set_key"])
         .select("node", "n_shingles", "bits0", "bits1", "a", "b", "c"),
         "class-sketches",
     )
@@ -349,7 +367,7 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, percent: int = SIMIL
         texts(docs).withColumnRenamed("doc_id", "node").join(involved, "node", "left_semi"), "texts"
     )
     links = stage(_confirmed(pairs, bodies, length, percent), "confirmed")
-    tested, reached = pairs, components(links)
+    tested, reached = pairs, components(links.unionByName(_of_one_id(named, least)))
     for level in range(LEVELS + 1):
         held = stage(_open(buckets, reached), "open")
         easy = held if level == LEVELS else held.where(F.col("others") <= FEW)

@@ -209,3 +209,18 @@ def test_buckets_of_any_size(spark, monkeypatch, gathered):
     texts = [odd.changed(chance, base, chance.randrange(14)) for _ in range(70)]
     docs = [(i, text, None, None, None) for i, text in enumerate(texts)]
     assert counted(module.near_duplicates(odd.documents(spark, docs), 4)) == brute.near_components(docs, 4)
+
+
+@pytest.mark.parametrize("order", [0, 1])
+def test_near_copies_of_any_text_of_an_id_are_linked(spark, order):
+    chance = random.Random(8)
+    a, b = odd.prose(chance, 160), odd.prose(chance, 170)
+    near_a, near_b = odd.changed(chance, a, 2), odd.changed(chance, b, 2)
+    for rows in (
+        [(1, a), (1, b), (2, near_a), (3, near_b)],
+        [(1, a), (5, a), (5, b), (6, near_b)],
+        [(4, b), (5, a), (5, b), (5, b), (6, near_a), (7, near_b), (9, a)],
+    ):
+        docs = [(doc_id, text, "en", None, None) for doc_id, text in (rows[::-1] if order else rows)]
+        found = near_duplicates(odd.documents(spark, docs, 1 + order), 4)
+        assert counted(found) == brute.near_components(docs, 4)
