@@ -520,6 +520,39 @@ def _check_foreign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.check_foreign_keys(model, FOREIGN_KEYS)
 
 
+def _faulty_batch(spark: SparkSession, sf_dir: str) -> tuple[Model, Model]:
+    """The filled line items as stored, and a batch on top with planted faults: stations of even
+    number once more under other ids, channels of sensors that don't exist, and raw measurements,
+    which repeat keys, some of channels or metrics that don't exist."""
+    raw = raw_measurements(spark, sf_dir)
+    stored = station_model(spark, sf_dir, raw.where(F.col("l_linestatus") == "F"))
+    far = 1_000_000
+    metric = F.col("fkmetricid")
+    added = {
+        "station": stored["station"]
+        .where(F.col("pkstationid") % 2 == 0)
+        .withColumn("pkstationid", F.col("pkstationid") + far),
+        "channel": stored["channel"]
+        .where("isignored")
+        .withColumns({"pkchannelid": F.col("pkchannelid") + far, "fksensorid": F.col("fksensorid") + far}),
+        "metricdata": raw.where((F.col("l_linestatus") == "O") & _kind(False)).withColumns(
+            {
+                "fkchannelid": F.col("fkchannelid") + F.when(metric == 1, 2 * far).when(metric == 3, far).otherwise(0),
+                "fkmetricid": F.when(metric == 2, metric + far).otherwise(metric),
+            }
+        ),
+    }
+    return stored, added
+
+
+def _check_batch_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrity.check_new_uniques(*_faulty_batch(spark, sf_dir))
+
+
+def _check_batch_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrity.check_new_references(*_faulty_batch(spark, sf_dir))
+
+
 def _incomplete(spark: SparkSession, sf_dir: str) -> Model:
     """Zero readings unknown, blank locations unknown, names spelled out in full."""
     model = station_model(spark, sf_dir)
@@ -715,6 +748,8 @@ QUERIES: dict[str, Query] = {
     "sync_closure": _sync_closure,
     "check_unique": _check_unique,
     "check_foreign_keys": _check_foreign_keys,
+    "check_batch_unique": _check_batch_unique,
+    "check_batch_references": _check_batch_references,
     "check_not_null": _check_not_null,
     "check_lengths": _check_lengths,
     "cascade_delete_network": _cascade_delete_network,

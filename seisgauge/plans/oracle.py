@@ -255,6 +255,12 @@ def _sizes(**tables: str) -> str:
     return f"{_BASE}\n" + "\nunion all ".join(parts)
 
 
+# Open measurements of channels or metrics that are not there.
+_FAULTY = """
+  select case metric_id when 2 then metric_id + 1000000 else metric_id end as metric_id, date,
+         ch + case metric_id when 1 then 2000000 when 3 then 1000000 else 0 end as ch
+  from raw where l_linestatus = 'O' and kind <> 5
+"""
 _KEPT_NETWORK = "network_name not like 'NATION_1%'"
 _KEPT_PATH = "network not like 'NATION_1%'"
 _COHERENCE_BELOW = "('CoherencePBM:18-22', 'CoherencePBM:90-110', 'CoherencePBM:200-500')"
@@ -434,6 +440,27 @@ from fact where metric like 'CoherencePBM%' group by metric_id
 union all
 select 'stationgrouptie', 'fkgroupid', 'group', gid, count(*)
 from tie where gid > 1000 group by gid""",
+    "check_batch_unique": f"""{_BASE},
+batch as ({_FAULTY})
+select 'metricdata' as table_name, 'fkmetricid,date,fkchannelid' as columns,
+  metric_id || ',' || date || ',' || ch as key, count(*) as copies
+from batch group by metric_id, date, ch having count(*) > 1
+union all
+select 'station', 'fknetworkid,name', network || ',' || name, cast(2 as bigint)
+from station where id % 2 = 0""",
+    "check_batch_references": f"""{_BASE},
+batch as ({_FAULTY})
+select 'channel' as child, 'fksensorid' as column_name, 'sensor' as parent,
+  cast(sensor + 1000000 as integer) as key, count(*) as n
+from channel where ignored group by sensor
+union all
+select 'metricdata', 'fkmetricid', 'metric', cast(metric_id as integer), count(*)
+from batch where metric_id > 1000000 group by metric_id
+union all
+select 'metricdata', 'fkchannelid', 'channel', cast(ch as integer), count(*)
+from batch where ch > 1000000
+  and not exists (select 1 from channel c where c.ignored and c.id + 1000000 = batch.ch)
+group by ch""",
     "check_not_null": f"""{_BASE}
 select * from (
   select 'metricdata' as table_name, 'value' as column_name, count(*) as n

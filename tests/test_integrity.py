@@ -179,3 +179,38 @@ def test_long_chains_and_cycles_are_deleted(spark, model):
     below = integrity.metric_descendants(held)
     assert below.where("ancestor = 1").agg(F.max("depth"), F.count("*")).first() == (129, 130)
     assert below.where("ancestor = 201").count() == 2 and below.where("ancestor = 203").count() == 1
+
+
+def test_keys_of_a_batch_are_checked_before_it_is_published(spark, model, tmp_path):
+    from dataclasses import replace
+
+    from seisgauge.operators.ingest import ingest
+    from seisgauge.sources.store import BrokenKeys, commit_ingest, load_model, save_model
+
+    from .tiny import BATCH, batch
+
+    root = str(tmp_path / "store")
+    save_model(spark, model, root)
+    held = load_model(spark, root)
+    good = ingest(held, batch(spark, [BATCH[2]]))
+    hash_again = good.added["hash"].withColumn("hash", F.lit(bytearray([0xA1])))
+    nowhere = good.upserts.withColumn("fkchannelid", F.lit(77))
+    twice = good.upserts.union(good.upserts)
+    for broken, told in (
+        (replace(good, added={**good.added, "hash": hash_again}), "'hash'"),
+        (replace(good, upserts=nowhere), "'fkchannelid'"),
+        (replace(good, upserts=twice), "'copies': 2"),
+    ):
+        with pytest.raises(BrokenKeys, match=told):
+            commit_ingest(spark, broken, root, verify=True)
+    assert commit_ingest(spark, good, root, verify=True) == 2
+
+
+def test_a_batch_is_checked_without_the_stored_facts(spark, model):
+    stored = {name: rows for name, rows in model.items() if name not in ("metricdata", "metricstringdata")}
+    upserts = model["metricdata"]
+    assert integrity.check_new_uniques(stored, {"metricdata": upserts}).count() == 0
+    found = integrity.check_new_uniques(stored, {"metricdata": upserts.union(upserts)}).collect()
+    assert [r["copies"] for r in found] == [2] * 6
+    lone = integrity.check_new_uniques(model, {"group": model["group"].where("pkgroupid = 3")})
+    assert [(r["columns"], r["copies"]) for r in lone.collect()] == [("pkgroupid", 2)]
