@@ -40,7 +40,7 @@ from ..sources.measurements import (
     write_sync_csv,
 )
 from ..sources.staging import staging_path
-from ..sources.store import commit_ingest, load_model, save_model
+from ..sources.store import commit_ingest, delete_rows, load_model, save_model
 from .stations import (
     WINDOW,
     measurements,
@@ -605,6 +605,16 @@ def _cascade_delete_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _store_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions, then some networks, then a metric with all below it deleted from a store."""
+    root = staging_path(spark, "store")
+    save_model(spark, station_model(spark, sf_dir), root, block_days=1000)
+    delete_rows(spark, root, "group", F.col("fkgrouptypeid") == 4)
+    delete_rows(spark, root, "group", F.col("name").like("NATION_1%"))
+    delete_rows(spark, root, "metric", F.col("name") == "CoherencePBM:18-22")
+    return _table_sizes(load_model(spark, root))
+
+
 def _cascade_blockers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deleting every network is refused: these stations are tied to a region, too."""
     model = station_model(spark, sf_dir)
@@ -754,6 +764,7 @@ QUERIES: dict[str, Query] = {
     "check_lengths": _check_lengths,
     "cascade_delete_network": _cascade_delete_network,
     "cascade_delete_metric": _cascade_delete_metric,
+    "store_delete": _store_delete,
     "cascade_blockers": _cascade_blockers,
     "metric_descendants": _metric_descendants,
     "window_rollup": _window_rollup,

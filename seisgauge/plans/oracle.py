@@ -492,6 +492,16 @@ where n > 0""",
         metricdata=f"fact where metric not in {_COHERENCE_BELOW}",
         metricstringdata="sfact",
     ),
+    "store_delete": _sizes(
+        group="grp where kind <> 4 and name not like 'NATION_1%'",
+        stationgrouptie=f"tie join station st on st.id = sid where gid < 1000 and {_KEPT_NETWORK}",
+        station=f"station where {_KEPT_NETWORK}",
+        sensor=f"sensor join station st on st.id = sid where {_KEPT_NETWORK}",
+        channel=f"path where {_KEPT_PATH}",
+        metric=f"metric where name not in {_COHERENCE_BELOW}",
+        metricdata=f"fact where {_KEPT_PATH} and metric not in {_COHERENCE_BELOW}",
+        metricstringdata=f"sfact where {_KEPT_PATH}",
+    ),
     "cascade_blockers": f"""{_BASE}
 select 'stationgrouptie' as child, 'fkstationid' as column_name, 'station' as parent, sid as key,
   count(*) as n
