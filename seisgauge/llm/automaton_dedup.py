@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from seisgauge.sources.staging import stage
 
 from .inputs import words
+from .memory import forgetting
 from .segments import (
     NOBODY,
     Body,
@@ -178,6 +179,7 @@ def _windows(body: bytes, window: int) -> list[bytes]:
 def _least_by_window(found: DataFrame, units: Units) -> DataFrame:
     window = units.window
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Body] = []
         size = 0

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .inputs import texts
+from .memory import forgetting
 from .word_hashes import run_hashes, word_hashes
 
 #: Words of a seed and of the shortest tile; share of an item's words that condemns a document.
@@ -139,6 +140,7 @@ def findings(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> Dat
             continue
         sent = spark.sparkContext.broadcast(items)
 
+        @forgetting
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = Block(sent.value)
             for batch in batches:

@@ -47,6 +47,7 @@ from seisgauge.sources.staging import stage
 
 from .components import components
 from .inputs import texts
+from .memory import forgetting
 from .word_hashes import run_hashes, word_hashes
 
 #: Words of a shingle, and the least similarity in hundredths.
@@ -86,6 +87,7 @@ def minhashes(held: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, length: int) -> DataFrame:
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, found = [], [], []
@@ -178,6 +180,7 @@ def _confirmed(pairs: DataFrame, bodies: DataFrame, length: int, percent: int) -
         .sortWithinPartitions("center", "share", F.col("node") != F.col("center"))
     )
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, heads = None, []
         for batch in batches:
@@ -312,6 +315,7 @@ def _gathered(held: DataFrame, bodies: DataFrame, length: int, percent: int) ->
         .sortWithinPartitions("key", "node")
     )
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, nodes, comps, sets = None, [], [], []
 

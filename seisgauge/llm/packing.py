@@ -4,8 +4,8 @@ Documents are dealt into shards by ranges of a lexical signature (the least hash
 ids), so that copies and documents of one vocabulary tend to meet, and a shard has some
 ``SHARD_TOKENS`` tokens whatever repeats: ties are broken by doc_id. Within a shard an inverted
 index with BM25 weights returns, for each seed, the neighbours not used yet, best first: all terms
-of the seed that have a positive weight count. They fill the window; the one that doesn't fit is cut, its rest opens the next window and is its seed. If no
-neighbour is left, the next unused document follows. So every window is full but the last of a
+of the seed that have a positive weight count. They fill the window; the one that doesn't fit is
+cut, its rest opens the next window and is its seed. If no neighbour is left, the next unused document follows. So every window is full but the last of a
 shard, which is cut into sequences of a power of two tokens each and needs no padding either.
 
 A task holds one shard: its ids and an index of the same order of size.
@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from seisgauge.sources.staging import stage
 
 from .inputs import texts
+from .memory import forgetting
 from .tokens import IDS, Encoder
 
 #: Tokens of a shard, about.
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 #: BM25: saturation of term counts, weight of the length.
 K1, B = 1.2, 0.75
 #: Neighbours sorted at first; further ones as they are asked for, four times as many each time.
@@ -44,23 +45,30 @@ PIECE_SCHEMA = (
 )
 
 
+def _hashes(ids: np.ndarray) -> np.ndarray:
+    held = ids * np.uint64(0x9E3779B97F4A7C15)
+    return (held ^ (held >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Ids in as few bytes as the largest id needs: two up to 65535."""
     end = np.array([end_id], IDS).tobytes()
 
+    @forgetting
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
-        wide = encoder.tokenizer.get_vocab_size() > 1 << 16 or end_id >= 1 << 16
+        size = encoder.tokenizer.get_vocab_size()
+        wide = size > 1 << 16 or end_id >= 1 << 16
+        short_end = b"" if wide else np.array([end_id], "<u2").tobytes()
+        hashes = _hashes(np.arange(size, dtype=np.uint64))
         for batch in batches:
             signatures, counts, packed = [], [], []
             for text in batch.column("text"):
-                ids = np.frombuffer(encoder(text.as_py()) + end, IDS)
-                hashes = ids[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                hashes ^= hashes >> np.uint64(29)
-                hashes *= np.uint64(0xBF58476D1CE4E5B9)
-                signatures.append(int(hashes.min() >> np.uint64(1)) if hashes.size else 0)
-                counts.append(ids.size)
-                packed.append(ids.tobytes() if wide else ids.astype("<u2").tobytes())
+                plain = encoder(text.as_py())
+                ids = np.frombuffer(plain, IDS)
+                signatures.append(int(hashes[ids].min() >> np.uint64(1)) if ids.size else 0)
+                counts.append(ids.size + 1)
+                packed.append(plain + end if wide else ids.astype("<u2").tobytes() + short_end)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(signatures, pa.int64()), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
                 names=["doc_id", "signature", "n_tokens", "ids"],
@@ -69,25 +77,41 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return texts(docs).mapInArrow(encode, ENCODED_SCHEMA)
 
 
+def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids and how often each occurs."""
+    held, counts = np.unique(ids, return_counts=True)
+    return held, counts.astype(np.int32)
+
+
 class Bm25:
     """Inverted index over the documents of a shard. Terms in more than half of them have no
     weight."""
 
     def __init__(self, docs: list[np.ndarray]) -> None:
         self.n = len(docs)
-        counted = [np.unique(ids, return_counts=True) for ids in docs]
+        # A term's number in the shard stands for it, in four bytes, so that an index is some
+        # sixteen bytes a posting; what only serves to build it goes at once.
+        counted = [_counted(ids) for ids in docs]
+        distinct = [t.size for t, _ in counted]
         term = np.concatenate([t for t, _ in counted]) if counted else np.zeros(0, "<u4")
-        count = np.concatenate([c for _, c in counted]) if counted else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(self.n), [t.size for t, _ in counted])
+        count = np.concatenate([c for _, c in counted]) if counted else np.zeros(0, np.int32)
+        del counted
+        self.terms, number, self.sizes = np.unique(term, return_inverse=True, return_counts=True)
+        number = number.astype(np.int32)
+        self.own = np.split(number, np.cumsum(distinct)[:-1]) if distinct else []
+        self.first = np.cumsum(self.sizes) - self.sizes
         order = np.argsort(term, kind="stable")
-        term, count, self.doc = term[order], count[order], doc[order]
-        self.terms, self.first = np.unique(term, return_index=True)
-        self.sizes = np.diff(np.append(self.first, term.size))
+        del term
+        self.doc = np.repeat(np.arange(self.n, dtype=np.int32), distinct)[order]
+        count = count[order]
+        del order
         self.idf = np.log((self.n - self.sizes + 0.5) / (self.sizes + 0.5))
         length = np.array([ids.size for ids in docs], np.float64)
         scale = K1 * (1 - B + B * length / max(length.mean(), 1)) if self.n else length
-        self.weight = np.repeat(self.idf, self.sizes) * count * (K1 + 1) / (count + scale[self.doc])
-        self.own = [np.searchsorted(self.terms, t) for t, _ in counted]
+        self.weight = scale[self.doc]
+        self.weight += count
+        np.divide(count, self.weight, out=self.weight)
+        self.weight *= np.repeat(self.idf * (K1 + 1), self.sizes)
         self.names = np.arange(self.n)
 
     def neighbours(self, seed: int, used: np.ndarray) -> Iterator[int]:
@@ -122,7 +146,8 @@ class Bm25:
         ends = before[self.first + self.sizes]
         self.first = before[self.first]
         self.sizes = ends - self.first
-        self.doc, self.weight = (np.cumsum(live) - 1)[self.doc[held]], self.weight[held]
+        places = (np.cumsum(live) - 1).astype(np.int32)
+        self.doc, self.weight = places[self.doc[held]], self.weight[held]
         self.names = self.names[live]
 
 
@@ -207,6 +232,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096) -> Da
     total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, -(-total // SHARD_TOKENS))
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:

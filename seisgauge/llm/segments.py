@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from seisgauge.sources.staging import stage
 
 from .inputs import texts
+from .memory import forgetting
 
 #: Windows of a segment at most: a long run of one fingerprint (a text of one letter) is cut.
 LONGEST = 4096
@@ -172,6 +173,7 @@ def fingerprints(
         nothing = [None] * len(found)
         yield batch_of(FINGERPRINT_SCHEMA, [*[nothing] * 6, found, blobs])
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
@@ -197,6 +199,7 @@ def fingerprints(
 def listed(found: DataFrame) -> DataFrame:
     """doc_no and its shared fingerprints, from the rows of ``fingerprints``."""
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [unpacked(blob.as_py()) for batch in batches for blob in batch.column("entries")]
         if not blobs:
@@ -246,6 +249,7 @@ def segments(held: DataFrame, units: Units) -> DataFrame:
     its body and, at its first sight in the task, its body. ``sight`` counts to 3 at most.
     Documents are seen in the order of their numbers within a task."""
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
         for batch in batches:
@@ -293,6 +297,7 @@ def by_window(found: DataFrame, sights: int, windows: Callable[[bytes], list[byt
         .agg(F.count("*").alias("copies"), F.min("number").alias("least"), F.max("body").alias("body"))
     )
 
+    @forgetting
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = (batch.column(c).to_pylist() for c in ("print", "body_hash", "copies", "least"))

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from seisgauge.sources.staging import stage
 
+from .memory import forgetting
 from .segments import (
     Body,
     Units,
@@ -193,6 +194,7 @@ def _repeats(found: DataFrame, units: Units) -> DataFrame:
     """For each body, the runs of its windows that are repeats."""
     depth, gram = units.window, units.gram
 
+    @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Body] = []
         size = 0

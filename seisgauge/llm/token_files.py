@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .inputs import texts
+from .memory import forgetting
 from .tokens import IDS, Encoder
 
 FRAME_IDS = 1 << 20
@@ -110,6 +111,7 @@ def write_token_files(
     spark = docs.sparkSession
     end = b"" if end_id is None else np.array([end_id], IDS).tobytes()
 
+    @forgetting
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         encode, writer, start, path = Encoder.of(tokenizer), None, 0, ""
@@ -163,6 +165,7 @@ def read_token_files(index: DataFrame, digest: bool = False) -> DataFrame:
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = DIGEST_SCHEMA if digest else READ_SCHEMA
 
+    @forgetting
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, reader, rows, held = None, None, [], 0
         for batch in batches:

@@ -2,8 +2,9 @@
 
 A tokenizer that drops white space and treats words alone gives a text the ids of its words, one
 after the other. Such a tokenizer is recognised by its settings; its words are then encoded once
-and remembered, up to a bound. Words of plain letters skip the normalizing steps, which do nothing
-to them but lower their case. Any other tokenizer encodes whole texts.
+and remembered, up to a bound and to the end of the task. Words of plain letters, with or without
+marks behind them, skip the normalizing steps, which do nothing to them but lower their case. Any
+other tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
@@ -14,10 +15,13 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words remembered by a worker, and the longest of them: some 60 MB.
-REMEMBERED, LONGEST = 400_000, 40
+from .memory import until_the_task_ends
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Words remembered by a task, and the longest of them: some 100 MB, with their letters alone.
+REMEMBERED, LONGEST = 300_000, 40
+
+#: Letters, then marks that are one piece: all of ASCII but ``'`` and ``<``, which may begin others.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
 IDS = np.dtype("<u4")
 
 
@@ -54,7 +58,8 @@ class _Words(dict):
         super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.symbols = _byte_symbols()
-        self.cores: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = until_the_task_ends({})
+        until_the_task_ends(self)
 
     def core(self, letters: str) -> bytes:
         found = self.cores.get(letters)

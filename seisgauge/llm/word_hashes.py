@@ -7,8 +7,10 @@ from collections.abc import Sequence
 import numpy as np
 import xxhash
 
-#: Words remembered by a worker, and the longest of them: some 50 MB.
-REMEMBERED, LONGEST = 400_000, 40
+from .memory import until_the_task_ends
+
+#: Words remembered by a task, and the longest of them: some 25 MB.
+REMEMBERED, LONGEST = 200_000, 40
 
 # Odd multipliers and shifts of a common 64-bit finalizer; any odd numbers would do.
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -24,7 +26,7 @@ class _Hashes(dict):
         return value
 
 
-_known = _Hashes()
+_known = until_the_task_ends(_Hashes())
 
 
 def word_hashes(words: Sequence[str | bytes]) -> np.ndarray:

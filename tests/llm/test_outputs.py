@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from seisgauge.llm.memory import forgetting
 from seisgauge.llm.output_queries import TOKENIZER
 from seisgauge.llm.packing import Bm25, cuts, pack, retrieval_order
 from seisgauge.llm.token_files import read_token_files, token_index, with_global_starts, write_token_files
@@ -33,12 +34,20 @@ def test_encoder(tokenizer):
     assert encode.words is not None
     texts = [text or "" for _, text, *_ in odd.rows()] + [
         "It's I'LL 'tis don't.. ,.a.,b e\u0301te\u0301 \u0301x ß ẞ Σας ΣΑΣ 𝔘𝔫𝔦 a\u00a0b\u2003c \u200d x\u0130y ÷×",
-        "".join(map(chr, range(1, 0x250))), "<|startoftext|>a<|endoftext|> b", "\ud7ff\ue000 １２ Ⅷ ½",
+        "".join(map(chr, range(1, 0x250))), "<|startoftext|>a<|endoftext|> b",
+        "été%%% Word### a<b x'&& word'.t word-. it's. end\"'ll é,'s a.b [x] y]|~`", "\ud7ff\ue000 １２ Ⅷ ½",
     ]
     for text in texts:
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_worker_forgets():
+    encode = Encoder.of(TOKENIZER)
+    run = forgetting(lambda batches: ([encode(batch), len(encode.words)] for batch in batches))
+    assert [held for _, held in run(["one two", "two three"])] == [2, 3]
+    assert not encode.words and not encode.words.cores
+
+
 def test_token_files(spark, tokenizer):
     docs, root = odd.rows(), staging_path(spark, "tokens")
     index = write_token_files(odd.documents(spark, docs), root, TOKENIZER, end_id=1)
