@@ -44,6 +44,7 @@ def test_encoder(tokenizer):
 def test_a_worker_forgets():
     encode = Encoder.of(TOKENIZER)
     run = forgetting(lambda batches: ([encode(batch), len(encode.words)] for batch in batches))
+    list(run([]))
     assert [held for _, held in run(["one two", "two three"])] == [2, 3]
     assert not encode.words and not encode.words.cores
 
