@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seisgauge.sources.staging import stage
+
 LANES = 8
 #: 512 bits for 32 URLs: about 0.06 % false positives.
 URLS_PER_BLOCK = 32
@@ -124,10 +126,11 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: list[Rule]) -> Data
     The verdict is that of the longest rule that fits; without one, a listed page is blocked and
     any other is allowed. ``listed`` has a column ``url``.
     """
-    keys = (
+    keys = stage(
         listed.select(canonical(F.col("url").cast("string")).alias("key"))
         .where(F.col("key").isNotNull())
-        .distinct()
+        .distinct(),
+        "listed",
     )
     blocks = max(1, -(-keys.count() // URLS_PER_BLOCK))
     url = F.col("url").cast("string")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seisgauge.llm import personal_data, quality_rules
 from seisgauge.llm.queries import ORACLE_SQL, QUERIES
+from seisgauge.llm.url_queries import listed_urls
 from seisgauge.llm.urls import Rule, blocked_filter, possible_hits, url_verdicts
 
 from ..compare import compare, connect
@@ -123,6 +124,23 @@ URLS = [
 ]
 
 
+def test_the_list(spark):
+    pages = spark.createDataFrame(
+        [
+            (1, "http://a.net/x?utm_source=f", "<title>Win $$$ now</title>"),
+            (2, "https://www.a.net/x/", "<title>Calm</title>"),
+            (3, "http://cheap-things.net/y", None),
+            (4, "http://xn--bcher-kva.net/", "<p>$$$</p>"),
+            (5, None, "<title>!!!</title>"),
+            (6, "http://b.net/", "<title>a ## b ** c</title>"),
+        ],
+        "page_id long, url string, html string",
+    )
+    assert {r["url"] for r in listed_urls(pages).collect()} == {"http://a.net/x?utm_source=f", "http://cheap-things.net/y", None}
+    found = {r["page_id"]: r["verdict"] for r in url_verdicts(pages, listed_urls(pages), []).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow"}
+
+
 def test_urls(spark):
     pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(URLS)] + [(None, URLS[5][0])], "page_id long, url string")
     for name in odd.CLASHING:
