@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from seisgauge.llm.decontamination import Block, decontaminate, joined_seeds, tiles, words_of
+from seisgauge.llm.decontamination import SEED, Block, decontaminate, tiles, words_of
 from seisgauge.llm.output_queries import TOKENIZER
 from seisgauge.llm.quality_classifier import FEATURES, features, fit, fit_pairs, held_out, keep_good, score
 from seisgauge.llm.queries import QUERIES
@@ -58,11 +59,69 @@ def test_pairs_rank_and_threshold():
     assert len(features("")) == len(features("a b")) == len(FEATURES)
 
 
-def test_tiles_take_the_longest_first():
-    # The match of 7 overlaps that of 9; what is left of it is too short.
-    assert tiles([(0, 0, 7), (3, 3, 9)]) == [(3, 3, 9)]
-    assert sorted(tiles([(0, 0, 9), (9, 20, 6), (30, 0, 8)])) == [(0, 0, 9), (9, 20, 6)]
-    assert joined_seeds([(1, 1), (2, 2), (9, 3)]) == [(1, 1, 6), (9, 3, 5)]
+def plain_tiles(here, there, least=SEED):
+    """The longest common run of what is left, found by looking at all places."""
+    left, right, chosen = list(here), list(there), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(left)):
+            for j in range(len(right)):
+                n = 0
+                while i + n < len(left) and j + n < len(right) and left[i + n] == right[j + n] >= 0:
+                    n += 1
+                best = min(best, (-n, i, j))
+        n, i, j = best
+        if -n < least:
+            return chosen
+        chosen.append((i, j, -n))
+        left[i : i - n], right[j : j - n] = [-1] * -n, [-2] * -n
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 3, 8])
+def test_tiles_against_all_places(kinds):
+    chance = np.random.default_rng(kinds)
+    for _ in range(30):
+        there = chance.integers(0, kinds, chance.integers(1, 40))
+        here = np.concatenate([chance.integers(-1, kinds, 20), there[10:25], chance.integers(0, kinds, 9), there[:14]])
+        assert tiles(here, there) == plain_tiles(here, there)
+        assert tiles(here, there, 2) == plain_tiles(here, there, 2)
+
+
+def test_findings_against_all_places():
+    chance = random.Random(8)
+    items = [(k, odd.prose(chance, 40)) for k in range(12)]
+    block = Block(items)
+    for _ in range(25):
+        parts = [" ".join(words_of(chance.choice(items)[1])[k : k + 13]) for k in (0, 7, 20)]
+        text = " ".join([odd.prose(chance, 30), *parts, "lone"])
+        wanted = []
+        for item_id, given in items:
+            item, doc = words_of(given), words_of(text)
+            numbers = {w: k for k, w in enumerate(dict.fromkeys(item))}
+            n = sum(t[2] for t in plain_tiles([numbers.get(w, -1) for w in doc], [numbers[w] for w in item]))
+            if n:
+                wanted.append((-n / len(item), item_id))
+        best = min(wanted)
+        assert block.findings(text, 0.3) == (best[1], -best[0], sum(-c >= 0.3 for c, _ in wanted))
+
+
+def test_repeated_words_cost_no_product():
+    begun = time.monotonic()
+    block = Block([(1, "so " * 4000), (2, "so much " * 2000)])
+    assert block.findings("so " * 300_000, 0.5) == (1, 1.0, 1)
+    assert block.findings("so much " * 150_000, 0.5) == (2, 1.0, 1)
+    assert time.monotonic() - begun < 30
+
+
+def test_short_items_and_other_scripts():
+    clause = "每个人都有权享受教育的自由与平等"
+    block = Block([(1, "which is true"), (None, "мир труд май свет дом лес"), (3, clause), (4, "--"), (5, "yes")])
+    assert block.findings("Which is true? Which is true!", 0.5) == (1, 1.0, 1)
+    assert block.findings("which is true of " + "other words " * 40, 0.5)[2] == 0
+    assert block.findings("о мир, труд, май, свет, дом, лес", 0.5) == (None, 1.0, 1)
+    assert block.findings("前言" + clause + "结束", 0.5) == (3, 1.0, 1)
+    assert block.findings("yes", 0.5) == (5, 1.0, 1) and block.findings("", 0.5) is None
+    assert Block([(1, "a b c d e f", 3)]).findings("a b c d e f", 0.5) == (1, 1.0, 3)
 
 
 def test_decontamination(spark):
@@ -93,7 +152,7 @@ def test_decontamination_in_blocks(spark, monkeypatch):
 
     docs, benchmark = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {tuple(r) for r in decontaminate(docs, benchmark).collect()}
-    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 900)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 9000)
     assert {tuple(r) for r in decontaminate(docs, benchmark).collect()} == whole
     assert sum(not r[-1] for r in whole) > 10
 
