@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .inputs import documents
-from .personal_data import BASE, find_spans
+from .personal_data import AFTER, BASE, BEFORE, KINDS, find_spans
 from .quality_rules import apply_policy, ledger, policy_mask
 
 #: The policy that decides in the query.
@@ -79,10 +79,22 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(found).cast("long").alias(f"n_{kind}")
 
     return find_spans(documents(spark, sf_dir)).select(
-        "doc_id", *map(count, BASE), F.sha2(_texts_of(base), 256).alias("base_sha256"), _texts_of(spans).alias("spans")
+        "doc_id", *map(count, BASE), F.sha2(_texts_of(base), 256).alias("base_sha256"), _texts_of(spans).alias("spans"),
+        F.array_join(F.transform(spans, lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",").alias("scores"),
     )
 
 
+def _near(name: str) -> str:
+    """SQL: whether a context word of a kind stands near a match."""
+    words = {kind.name: kind.words for kind in KINDS}[name]
+    return f"regexp_matches(lower(right(before, {BEFORE}) || ' ' || left(after, {AFTER})), '{words}')"
+
+
+def _points(name: str) -> str:
+    score = {kind.name: round(100 * kind.score) for kind in KINDS}[name]
+    return f"{score} + case when {_near(name)} then 20 else 0 end as points"
+
+
 def _places(kind: str, pattern: str) -> str:
     """SQL: matches of one kind with start and end."""
     return rf"""
@@ -108,6 +120,7 @@ with given as (
 ), card as ({_places('card', r'[0-9](?:[\x20-]?[0-9])+')}
 ), phone as ({_places('phone', r'\+[0-9][\x20().0-9-]+[0-9]')}
 ), iban as ({_places('iban', r'[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}')}
+), ssn as ({_places('ssn', r'[0-9]{3}-[0-9]{2}-[0-9]{4}')}
 ), digits as (
     select *, regexp_replace(m, '[^0-9]', '', 'g') as d from card
 ), turned as (
@@ -116,30 +129,36 @@ with given as (
     from iban
     where not regexp_matches(before, '[A-Za-z0-9]$') and not regexp_matches(after, '^[A-Za-z0-9]')
 ), found as (
-    select r, 1 as k, kind, start, stop from email
+    select r, 1 as k, kind, start, stop, {_points('email')} from email
     union all
-    select r, 2, kind, start, stop from ip
+    select r, 2, kind, start, stop, {_points('ip')} from ip
     where list_bool_and(list_transform(string_split(m, '.'), lambda p: p::hugeint <= 255))
     union all
-    select r, 3, kind, start, stop from digits
+    select r, 3, kind, start, stop, {_points('card')} from digits
     where length(d) between 13 and 19 and list_sum(list_transform(range(length(d)), lambda i:
         case when i % 2 = 0 then d[length(d) - i]::int
         else d[length(d) - i]::int * 2 // 10 + d[length(d) - i]::int * 2 % 10 end)) % 10 = 0
     union all
-    select r, 4, kind, start, stop from phone
+    select r, 4, kind, start, stop, {_points('phone')} from phone
     where length(regexp_replace(m, '[^0-9]', '', 'g')) between 9 and 15
     union all
-    select r, 5, kind, start, stop from turned
+    select r, 5, kind, start, stop, {_points('iban')} from turned
     where list_reduce(list_transform(string_split(array_to_string(symbols, ''), ''), lambda c: c::int),
         lambda held, c: (held * 10 + c) % 97) = 1
+    union all
+    select r, 6, kind, start, stop, {_points('ssn')} from ssn
+    where not regexp_matches(before, '[A-Za-z0-9]$') and not regexp_matches(after, '^[A-Za-z0-9]')
+        and not regexp_matches(m, '^(000|666|9)|-00-|-0000$') and {_near('ssn')}
 ), told as (
     select r, count(*) filter (k = 1) as n1, count(*) filter (k = 2) as n2,
         count(*) filter (k = 3) as n3, count(*) filter (k = 4) as n4,
         string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ',' order by k, start) filter (k < 5) as base,
-        string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ',' order by k, start) as spans
+        string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ',' order by k, start) as spans,
+        string_agg(points::varchar, ',' order by k, start) as scores
     from found group by r
 )
 select doc_id, coalesce(n1, 0) as n_email, coalesce(n2, 0) as n_ip, coalesce(n3, 0) as n_card,
-    coalesce(n4, 0) as n_phone, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+    coalesce(n4, 0) as n_phone, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
+    coalesce(scores, '') as scores
 from given left join told using (r)
 """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -83,6 +84,42 @@ def test_redact(spark):
     assert personal_data.redact(odd.empty(spark)).count() == 0
 
 
+def test_context_decides_over_added_spans(spark):
+    docs = ["my SSN is 123-45-6789.", "part 123-45-6789 of 9", "ssn 000-45-6789, 123-00-6789, 1234-45-67890"]
+    frame = odd.documents(spark, [(i, t, None, None, None) for i, t in enumerate(docs)])
+    found = {r["doc_id"]: [tuple(s)[:3] for s in r["spans"]] for r in personal_data.find_spans(frame).collect()}
+    assert found == {0: [("ssn", 10, 21)], 1: [], 2: []}
+    every = {r["doc_id"]: len(r["spans"]) for r in personal_data.find_spans(frame, least_score=0.0).collect()}
+    assert every == {0: 1, 1: 1, 2: 0}
+    assert {r["doc_id"]: r["text"] for r in personal_data.redact(frame).collect()} == {
+        0: "my SSN is [SSN].", 1: docs[1], 2: docs[2]
+    }
+
+
+def test_very_many_spans(spark):
+    text = "".join(f"é{'x' * (k % 7)} to a{k}@b.cd, 10.0.0.{k % 300} " for k in range(60_000)) + "end"
+    begun = time.monotonic()
+    frame = odd.documents(spark, [(1, text, None, None, None)], 1)
+    spans = personal_data.find_spans(frame).first()["spans"]
+    for kind in ("email", "ip"):
+        pattern, valid = PLAIN[kind]
+        wanted = [m.span() for m in re.finditer(pattern, text) if valid(m[0])]
+        assert [(s["start"], s["end"]) for s in spans if s["kind"] == kind] == wanted
+    wanted, at = [], 0
+    for start, end, kind in sorted((s["start"], s["end"], s["kind"]) for s in spans):
+        wanted.append(f"{text[at:start]}[{kind.upper()}]" if start >= at else "")
+        at = max(at, end)
+    assert personal_data.redact(frame).first()["text"] == "".join(wanted) + text[at:]
+    assert time.monotonic() - begun < 60
+
+
+@pytest.mark.parametrize("length", [0, 1, 511, 512, 513, 1024, 2000])
+def test_redact_at_the_edges_of_chunks(spark, length):
+    text = "ü" * length + " a@b.cd" + "😀 " * length + "c@d.ef" + " z" * (length // 2)
+    frame = odd.documents(spark, [(1, text, None, None, None)], 1)
+    assert personal_data.redact(frame).first()["text"] == re.sub(r"[a-z]@[a-z.]+", "[EMAIL]", text)
+
+
 def test_ledger(spark):
     docs = odd.rows()
     found = Counter(
