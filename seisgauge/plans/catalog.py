@@ -685,6 +685,19 @@ def _csv_roundtrip_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_measurements(spark, path).select(*MEASUREMENT_COLUMNS)
 
 
+def _csv_roundtrip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with line breaks of both kinds, quotes before them, and empty lines."""
+    path = staging_path(spark, "csv")
+    rows = _listing(spark, sf_dir).withColumns(
+        {
+            "station": F.concat("station", F.lit('\n"x",\n\n')),
+            "location": F.concat(F.lit("\r\n"), "location"),
+        }
+    )
+    write_sync_csv(rows, path, multiline=True)
+    return read_measurements(spark, path, multiline=True).select(*MEASUREMENT_COLUMNS)
+
+
 def _store_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the measurements saved, the other half ingested in two commits, then listed."""
     root = staging_path(spark, "store")
@@ -771,6 +784,7 @@ QUERIES: dict[str, Query] = {
     "stored_rollup": _stored_rollup,
     "csv_roundtrip": _csv_roundtrip,
     "csv_roundtrip_quoted": _csv_roundtrip_quoted,
+    "csv_roundtrip_lines": _csv_roundtrip_lines,
     "store_ingest": _store_ingest,
     "sync_diff_duplicates": _sync_diff_duplicates,
     "text_records": _text_records,

@@ -549,4 +549,7 @@ from half"""
 ORACLE_SQL["csv_roundtrip_quoted"] = f"""{_BASE}
 select date, network, station || ',"x", ' as station, ' ' || location as location, channel, metric,
   value, hash from listing"""
+ORACLE_SQL["csv_roundtrip_lines"] = f"""{_BASE}
+select date, network, station || chr(10) || '"x",' || chr(10) || chr(10) as station,
+  chr(13) || chr(10) || location as location, channel, metric, value, hash from listing"""
 ORACLE_SQL["sync_diff_duplicates"] = ORACLE_SQL["sync_diff"]
