@@ -51,6 +51,15 @@ def test_scores_of_odd_rows(spark):
     assert {r["score"] for r in score(frame, alone).collect()} == {0.5}
 
 
+def test_fit_of_repeated_rows(spark):
+    docs = spark.createDataFrame([(k, f"{'good words ' * k} {'#' * (k % 5)}") for k in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, quality int")
+    once = fit(docs, labels, 6)
+    hot = docs.where("doc_id < 4").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("k")
+    again = fit(docs.union(hot), labels.union(labels).union(labels), 6)
+    assert np.array_equal(once.weights, again.weights) and once.mean.tolist() == again.mean.tolist()
+
+
 def test_pairs_rank_and_threshold():
     chance = np.random.default_rng(1)
     good, bad = chance.normal(1, 0.3, (300, len(FEATURES))), chance.normal(-1, 0.3, (100, len(FEATURES)))
