@@ -249,3 +249,28 @@ def test_pipeline_judges_each_row(spark):
     assert Counter((r["doc_id"], r["text"]) for r in rows.collect()) == Counter(
         [(4, clean), (None, other), (5, None), (None, None)]
     )
+
+
+def test_fit_of_every_labelled_row(spark, monkeypatch):
+    """A fit in blocks of 40 follows all 600 rows, like a fit in one block does."""
+    from seisgauge.llm import quality_classifier
+
+    chance = random.Random(5)
+    given = [(k, odd.prose(chance, 20 + k % 50) + " #|" * (k % 3 == 0) * chance.randrange(3)) for k in range(600)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(600)], "doc_id long, quality int")
+    whole = fit(docs, labels)
+    x = {label: np.array([features(t) for k, t in given if (k % 3 > 0) == label]) for label in (0, 1)}
+    alone = fit_pairs(x[1], x[0], 1 / 3)
+    assert np.allclose(whole.weights, alone.weights) and whole.threshold == pytest.approx(alone.threshold)
+    monkeypatch.setattr(quality_classifier, "LEAST", 10)
+    monkeypatch.setattr(quality_classifier, "BINS", 4)
+    dealt = fit(docs, labels, 40)
+    # Mean, scale and the share below the threshold come from all rows, not from 40 of each label.
+    assert np.allclose(dealt.mean, alone.mean) and np.allclose(dealt.scale, alone.scale)
+    scores = np.concatenate([dealt.scores(x[1]), dealt.scores(x[0])])
+    assert (scores < 0.5).mean() == pytest.approx(1 / 3, abs=0.01)
+    # A rare label comes to every block.
+    rare = fit(docs, labels.where("doc_id < 12 or quality = 1"), 40)
+    assert np.isfinite(rare.threshold) and np.abs(rare.weights).max() > 0
+    assert np.allclose(rare.mean, (x[1].mean(0) + x[0][:4].mean(0)) / 2)
