@@ -2,8 +2,10 @@
 
 Whether a line begins inside a quoted field depends on all lines before it, yet every line can say
 what it does to either answer: keep it, turn it round, or settle it. These effects combine in order:
-along the lines of a split, then along the splits of a file, of which there is one row each. So no
-task reads more than a split, and only lines of records that span lines are shuffled once more.
+along the lines of a split in its task, then along the splits of a file, of which there is one row
+each. With the answer at its start every split is read once more and its lines are joined to records
+in the task. Only the ends of splits, parts of records that reach into other splits, are shuffled.
+Both reads must cut the files alike: a split whose start was not seen before raises an error.
 
 A quote opens a field only at its start, and a doubled one within it stands for itself. Records end
 with a line feed, after an optional carriage return. A quote that is never closed would take in the
@@ -13,9 +15,15 @@ have no records.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .staging import stage
 
 #: Bytes of the longest record that spans lines.
@@ -58,46 +66,158 @@ def _state(settled: str, turned: str, entry: Column) -> Column:
     return F.coalesce(F.col(settled), entry != F.coalesce(F.col(turned), F.lit(False)))
 
 
+def _ends(opened: np.ndarray, kept: np.ndarray, before: bool) -> np.ndarray:
+    """Whether each line ends inside a quoted field, if the first one begins ``before``."""
+    turns = np.cumsum(opened & ~kept)
+    settled = np.maximum.accumulate(np.where(opened == kept, np.arange(len(opened)), -1))
+    base = np.where(settled < 0, before, opened[settled])
+    return base ^ ((turns - np.where(settled < 0, 0, turns[settled])) % 2 == 1)
+
+
+def _by_split(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The runs of lines of one split, which are next to each other."""
+    files, blocks = batch.column("file").dictionary_encode().indices, batch.column("block")
+    keys = np.stack([np.asarray(files, np.int64), np.asarray(blocks, np.int64)])
+    cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:]):
+        if begin < end:
+            yield (batch["file"][begin].as_py(), batch["block"][begin].as_py()), batch.slice(begin, end - begin)
+
+
+def _flags(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.asarray(batch.column(name).to_numpy(zero_copy_only=False), bool) for name in ("opened", "kept")]
+
+
+_EFFECTS = "file string, block long, settled boolean, turned boolean"
+
+
+def _effects(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each split as a whole does to the answer."""
+
+    def row(split: tuple, ends: list[bool]) -> pa.RecordBatch:
+        settled = ends[0] if ends[0] == ends[1] else None
+        values = [*split, settled, ends[0] and not ends[1]]
+        types = [pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
+        names = ["file", "block", "settled", "turned"]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
+
+    split, ends = None, [False, True]
+    for batch in batches:
+        for place, lines in _by_split(batch):
+            if place != split:
+                if split is not None:
+                    yield row(split, ends)
+                split, ends = place, [False, True]
+            ends = [bool(_ends(*_flags(lines), end)[-1]) for end in ends]
+    if split is not None:
+        yield row(split, ends)
+
+
+_PARTS = "written timestamp, file string, block long, row long, value string, first boolean, last boolean"
+
+
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of a split, and with ``first`` or ``last`` false what it has of a record that began
+    before it or goes on after it."""
+    place_of = ("written", "file", "block", "row")
+
+    def rows(places: pa.RecordBatch, values: pa.Array, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+        columns = [*(places.column(name) for name in place_of), values, pa.array(first), pa.array(last)]
+        return pa.RecordBatch.from_arrays(columns, names=[*place_of, "value", "first", "last"])
+
+    split, inside, held, size, begun = None, False, [], 0, None
+
+    def rest(last: bool) -> pa.RecordBatch:
+        places, first = begun
+        value = pa.array(["\n".join(held)], pa.string())
+        return rows(places, value, np.array([first]), np.array([last]))
+
+    for batch in batches:
+        for place, lines in _by_split(batch):
+            if place != split:
+                if held:
+                    yield rest(False)
+                split, inside, held, size = place, lines["entry"][0].as_py(), [], 0
+            ends = _ends(*_flags(lines), inside)
+            first = ~np.concatenate([[inside], ends[:-1]])
+            closed = np.flatnonzero(~ends)
+            values = lines.column("value")
+            begin = 0
+            if not first[0]:  # goes on with what is held, or with what another split holds
+                if not held:
+                    begun = (lines.slice(0, 1), False)
+                begin = int(closed[0]) + 1 if len(closed) else lines.num_rows
+                more = values.slice(0, begin).to_pylist()
+                held.extend(more)
+                size += _bytes(more)
+                _bounded(size, place)
+                if len(closed):
+                    yield rest(True)
+                    held, size = [], 0
+            end = int(closed[-1]) + 1 if len(closed) else begin
+            if begin < end:
+                starts = np.flatnonzero(first[begin:end])
+                offsets = pa.array(np.append(starts, end - begin).astype(np.int32))
+                grouped = pa.ListArray.from_arrays(offsets, values.slice(begin, end - begin))
+                joined = pc.binary_join(grouped, "\n")
+                _bounded(pc.max(pc.binary_length(joined)).as_py(), place)
+                whole = np.ones(len(starts), bool)
+                yield rows(lines.slice(begin, end - begin).take(pa.array(starts)), joined, whole, whole)
+            end = max(begin, end)
+            if end < lines.num_rows:
+                begun = (lines.slice(end, 1), True)
+                held = values.slice(end).to_pylist()
+                size = _bytes(held)
+                _bounded(size, place)
+            inside = bool(ends[-1])
+    if held:
+        yield rest(False)
+
+
+def _bytes(lines: list[str]) -> int:
+    return sum(len(line.encode()) + 1 for line in lines)
+
+
+def _bounded(size: int, place: tuple) -> None:
+    if size > LONGEST:
+        raise ValueError(f"a quote is not closed in {place[0]}")
+
+
 def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``value`` (a record, its lines joined by line feeds) and where its first line stands: written,
     file, block, row."""
+    ship(spark)
     value = F.col("value")
-    opened, kept_open = _ends_inside(value), _ends_inside(F.concat(F.lit('"'), value))
-    kept_open = F.when(F.contains(value, F.lit('"')), kept_open).otherwise(F.lit(True))
+    kept = F.when(F.contains(value, F.lit('"')), _ends_inside(F.concat(F.lit('"'), value)))
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_modification_time").alias("written"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         "value",
-        opened.alias("_opened"),
-        kept_open.alias("_kept"),
+        _ends_inside(value).alias("opened"),
+        F.coalesce(kept, F.lit(True)).alias("kept"),
     )
-    effects = lines.select(
-        "written", "file", "block", "row", "value",
-        F.when(F.col("_opened") == F.col("_kept"), F.col("_opened")).alias("settled"),
-        (F.col("_opened") & ~F.col("_kept")).alias("turned"),
-    )
-    told = stage(_combined(effects, ["file", "block"], "row"), "lines")
-
-    ends = told.groupBy("file", "block").agg(F.max_by(F.struct("settled", "turned"), "row").alias("end"))
-    splits = _combined(ends.select("file", "block", "end.*"), ["file"], "block").select(
+    effects = stage(lines.select("file", "block", "opened", "kept").mapInArrow(_effects, _EFFECTS), "splits")
+    splits = _combined(effects, ["file"], "block").select(
         "file", "block", _state("settled_before", "turned_before", F.lit(False)).alias("entry")
     )
-    entry = F.col("entry")
-    placed = told.join(splits, ["file", "block"]).select(
-        "written", "file", "block", "row", "value",
-        (~_state("settled_before", "turned_before", entry)).alias("first"),
-        (~_state("settled", "turned", entry)).alias("last"),
+    unseen = F.raise_error(F.concat(F.lit("cut another way than before: "), F.col("file"))).cast("boolean")
+    # A row per split, so small enough to be broadcast. That keeps the order of the lines.
+    placed = lines.join(F.broadcast(splits), ["file", "block"], "left").select(
+        "written", "file", "block", "row", "value", "opened", "kept", F.coalesce("entry", unseen).alias("entry")
     )
-    whole = placed.where(F.col("first") & F.col("last")).drop("first", "last")
-    records = whole.unionByName(_spanning(placed.where(~(F.col("first") & F.col("last")))))
+    parts = placed.mapInArrow(_parts, _PARTS)
+    whole = parts.where(F.col("first") & F.col("last")).drop("first", "last")
+    # Two parts of a split at most.
+    torn = stage(parts.where(~(F.col("first") & F.col("last"))), "parts")
+    records = whole.unionByName(_spanning(torn))
     records = records.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
     return records.where(F.trim("value") != "")
 
 
 def _spanning(parts: DataFrame) -> DataFrame:
-    """Records of more than one line, from their lines."""
+    """Records of more than one split, from their parts."""
     begin = F.when(F.col("first"), F.struct("block", "row"))
     along = Window.partitionBy("file", "block").orderBy("row")
     carried = (
