@@ -1,0 +1,66 @@
+"""Lookups and interval sums shuffle their rows once."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+
+from seisgauge.functions import from_julian_day
+from seisgauge.operators.lookups import NAMES, metric_values
+from seisgauge.operators.rollup import interval_sums
+from seisgauge.operators.windows import channel_paths, metric_names
+
+from .tiny import tiny_model
+
+
+def _requests(model):
+    return (
+        model["metricdata"]
+        .join(metric_names(model), "fkmetricid")
+        .join(channel_paths(model), "fkchannelid")
+        .select(from_julian_day(F.col("date")).alias("date"), *NAMES)
+        .distinct()
+    )
+
+
+def test_requests_meet_their_facts_in_one_shuffle(spark):
+    model = tiny_model(spark)
+    wanted = _requests(model)
+    found = metric_values(model, wanted)
+    assert "Aggregate(key=[request" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.where("value is not null").count() == wanted.count() > 0
+
+
+def test_of_several_channels_of_one_name_the_lowest_counts(spark):
+    model = tiny_model(spark)
+    wanted = _requests(model)
+    before = sorted(map(tuple, metric_values(model, wanted).collect()))
+    # Each channel and its facts once more, under a higher id and with other values.
+    far = 1000
+    again = model["channel"].withColumn("pkchannelid", (F.col("pkchannelid") + far).cast("int"))
+    facts = model["metricdata"].withColumns(
+        {"fkchannelid": (F.col("fkchannelid") + far).cast("int"), "value": F.col("value") + 1}
+    )
+    double = {
+        **model,
+        "channel": model["channel"].unionByName(again),
+        "metricdata": facts.unionByName(model["metricdata"]),
+    }
+    assert sorted(map(tuple, metric_values(double, wanted).collect())) == before
+
+
+def test_interval_sums_are_dealt_once(spark):
+    tens = spark.range(1000).selectExpr(
+        "cast(id % 7 as int) as fkchannelid",
+        "cast(id % 3 as int) as fkmetricid",
+        "cast(id as int) as bucket",
+        "cast(id as double) as total",
+        "1L as readings",
+    )
+    sums = interval_sums(tens)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    dealt = set(re.findall(r"Exchange hashpartitioning\(([^)]*)\)", re.sub(r"#\d+L?", "", plan)))
+    assert {d.split(", 8")[0].split(", REP")[0] for d in dealt} == {"fkchannelid, fkmetricid"}
+    totals = {r["days"]: r["t"] for r in sums.groupBy("days").agg(F.sum("total").alias("t")).collect()}
+    assert totals == {10: 499500.0, 100: 499500.0, 1000: 499500.0}
