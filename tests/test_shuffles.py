@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -10,9 +11,12 @@ from seisgauge.functions import from_julian_day
 from seisgauge.operators.lookups import NAMES, metric_values
 from seisgauge.operators.rollup import interval_sums
 from seisgauge.operators.windows import channel_paths, metric_names
+from seisgauge.plans.catalog import named_days
 
 from .tiny import tiny_model
 
+SF = "/root/testdata/sf0.001"
+
 
 def _requests(model):
     return (
@@ -50,6 +54,15 @@ def test_of_several_channels_of_one_name_the_lowest_counts(spark):
     assert sorted(map(tuple, metric_values(double, wanted).collect())) == before
 
 
+def test_repeated_suppliers_ask_nothing_twice(spark, tmp_path):
+    for name in ("lineitem", "nation"):
+        (tmp_path / f"{name}.parquet").symlink_to(Path(SF, f"{name}.parquet"))
+    supplier = spark.read.parquet(f"{SF}/supplier.parquet")
+    supplier.unionByName(supplier).write.parquet(str(tmp_path / "supplier.parquet"))
+    asked = named_days(spark, str(tmp_path))
+    assert asked.count() == asked.distinct().count() == named_days(spark, SF).count()
+
+
 def test_interval_sums_are_dealt_once(spark):
     tens = spark.range(1000).selectExpr(
         "cast(id % 7 as int) as fkchannelid",
