@@ -12,12 +12,13 @@ Documents of equal sets are one class, named by its least doc_id; only classes a
 2. In each bucket every class is compared with the least one (a star, not all pairs). Confirmed
    links join classes to components.
 3. Buckets that still hold several components are looked at again. Where few classes (``FEW``) are
-   outside the largest component, these are compared with the rest of the bucket. Other buckets
-   whose keys begin with the same sketch of the first collection go to one task together, if
-   they hold ``GATHERED`` classes at most, or else each on its own; the task compares those of
-   different components and gives the links that join them. Larger ones are split by sketches of the third collection, again
-   and again; after ``LEVELS`` splits what is left is compared across components whatever its
-   size. No bucket is cut off.
+   outside the largest component, these are compared with the rest of the bucket, pair by pair; with
+   more of them it takes fewer texts to send each class of the bucket once. Other buckets whose keys
+   begin with the same sketch of the first collection go to one task together, if they hold
+   ``GATHERED`` classes at most, or else each on its own; the task compares those of different
+   components and gives the links that join them. Larger ones are split by sketches of the third
+   collection, again and again; after ``LEVELS`` splits what is left is compared across components
+   whatever its size. No bucket is cut off.
 
 Candidates pass a test of sizes, which is exact, and of 128 bits of the sketches, which lets a pair
 of similarity 0.8 go less than once in a million times. Then whole texts are compared: a task holds
@@ -54,7 +55,7 @@ from .word_hashes import run_hashes, word_hashes
 SHINGLE, SIMILARITY = 5, 80
 #: Sketches of a collection.
 SUBS = 12
-FEW, GATHERED, LEVELS = 32, 2000, 6
+FEW, GATHERED, LEVELS = 4, 2000, 6
 #: Bits of 128 in which the sketches of a linked pair may differ: 12.8 are expected.
 FAR_BITS = 37
 #: Partners of a class that a task compares.

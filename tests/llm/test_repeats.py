@@ -211,6 +211,28 @@ def test_buckets_of_any_size(spark, monkeypatch, gathered):
     assert counted(module.near_duplicates(odd.documents(spark, docs), 4)) == brute.near_components(docs, 4)
 
 
+def test_many_outside_a_large_component_do_not_make_pairs_with_all_of_it(spark, monkeypatch):
+    """Texts that resemble a group of near copies, but not enough to be linked with it."""
+    from seisgauge.llm import near_duplicates as module
+
+    pairs = []
+
+    def staged(rows, name, stage=module.stage):
+        held = stage(rows, name)
+        if name == "pairs":
+            pairs.append(held.count())
+        return held
+
+    monkeypatch.setattr(module, "stage", staged)
+    chance = random.Random(12)
+    base = odd.prose(chance, 200)
+    texts = [odd.changed(chance, base, 1) for _ in range(60)] + [odd.changed(chance, base, 11) for _ in range(100)]
+    docs = [(i, text, None, None, None) for i, text in enumerate(texts)]
+    assert counted(module.near_duplicates(odd.documents(spark, docs), 4)) == brute.near_components(docs, 4)
+    # The first round compares with the least of each bucket.
+    assert sum(pairs[1:]) <= 4 * len(docs), pairs
+
+
 @pytest.mark.parametrize("order", [0, 1])
 def test_near_copies_of_any_text_of_an_id_are_linked(spark, order):
     chance = random.Random(8)
