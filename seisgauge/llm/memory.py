@@ -3,6 +3,7 @@
 What a task remembers to save time, such as the hashes of the words it met, is forgotten when it
 ends, and memory that Arrow and the C library hold back goes to the system. So a worker is as large
 as its largest task, not as all of its tasks, and small between them.
+Tasks that encode words pass them on to the next of their step (``remembering``).
 """
 
 from __future__ import annotations
@@ -47,3 +48,9 @@ def forgetting(run: Run) -> Run:
             _forget()
 
     return whole
+
+
+def remembering(run: Run) -> Run:
+    """A function for ``mapInArrow`` whose tasks pass on what they remember, for words that are dear
+    to encode. The next task of another step that runs a function made by ``forgetting`` forgets it."""
+    return run

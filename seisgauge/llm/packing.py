@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from seisgauge.sources.staging import stage
 
 from .inputs import texts
-from .memory import forgetting
+from .memory import forgetting, remembering
 from .tokens import IDS, Encoder
 
 #: Tokens of a shard, about.
@@ -54,7 +54,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Ids in as few bytes as the largest id needs: two up to 65535."""
     end = np.array([end_id], IDS).tobytes()
 
-    @forgetting
+    @remembering
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         size = encoder.tokenizer.get_vocab_size()

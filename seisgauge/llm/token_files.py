@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .inputs import texts
-from .memory import forgetting
+from .memory import forgetting, remembering
 from .tokens import IDS, Encoder
 
 FRAME_IDS = 1 << 20
@@ -111,7 +111,7 @@ def write_token_files(
     spark = docs.sparkSession
     end = b"" if end_id is None else np.array([end_id], IDS).tobytes()
 
-    @forgetting
+    @remembering
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         encode, writer, start, path = Encoder.of(tokenizer), None, 0, ""
