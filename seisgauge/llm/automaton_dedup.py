@@ -47,6 +47,7 @@ from .segments import (
     keyed,
     segments,
     spans,
+    unpacked_text,
 )
 from .word_hashes import run_hashes, word_hashes
 
@@ -54,6 +55,8 @@ from .word_hashes import run_hashes, word_hashes
 WINDOW, GRAM = 13, 6
 #: Words of a shard, about; the bodies of a fingerprint that has more go by their windows.
 SHARD_WORDS = 300_000
+#: Bodies without an automaton that are told at once.
+ROWS = 10_000
 
 FOUND_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>, least array<long>"
 CLEANED_SCHEMA = "doc_no long, number long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -161,14 +164,13 @@ def least_documents(bodies: list[tuple[bytes, int]], window: int = WINDOW) -> li
     return [np.array(automaton.matches(words, window), np.int64) for words in split]
 
 
-def _found(bodies: list[tuple[Body, np.ndarray]]) -> pa.RecordBatch:
-    """Runs of windows of one least document."""
-    rows = []
-    for body, least in bodies:
-        starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-        ends = np.append(starts[1:], least.size)
-        rows.append((body.print, body.hash, starts.tolist(), ends.tolist(), least[starts].tolist()))
-    return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 5)
+def _found(body: Body, least: np.ndarray) -> tuple | None:
+    """Runs of windows of one least document, unless there is none that is before the body's."""
+    if body.copies == 1 and least.min() == body.least:
+        return None
+    starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    ends = np.append(starts[1:], least.size)
+    return body.print, body.hash, starts.tolist(), ends.tolist(), least[starts].tolist()
 
 
 def _windows(body: bytes, window: int) -> list[bytes]:
@@ -183,25 +185,27 @@ def _least_by_window(found: DataFrame, units: Units) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Body] = []
         size = 0
+        rows: list[tuple] = []
 
         def settle() -> pa.RecordBatch:
             least = least_documents([(b.body, b.least) for b in held], window)
-            return _found(list(zip(held, least)))
+            rows.extend(row for row in map(_found, held, least) if row)
+            return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 5)
 
         for group in fingerprint_groups(batches):
             if len(group) == 1:
                 # Nothing smaller than the first document that has it: nothing to tell unless
                 # others have it, too.
-                if group[0].copies > 1:
-                    yield _found([(group[0], np.full(group[0].n, group[0].least, np.int64))])
-                continue
-            held.extend(group)
-            size += sum(body.n + window - 1 for body in group)
-            if size >= SHARD_WORDS:
+                body = group[0]
+                if body.copies > 1:
+                    rows.append((body.print, body.hash, [0], [body.n], [body.least]))
+            else:
+                held.extend(group)
+                size += sum(body.n + window - 1 for body in group)
+            if size >= SHARD_WORDS or len(rows) >= ROWS:
                 yield settle()
-                held, size = [], 0
-        if held:
-            yield settle()
+                held, size, rows = [], 0, []
+        yield settle()
 
     small, large = by_size(found, units, SHARD_WORDS)
     least = grouped(small, sights=2).mapInArrow(run, FOUND_SCHEMA)
@@ -237,7 +241,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
             rows = []
             names = (batch.column(c).to_pylist() for c in ("doc_no", "number", "text", "ranges"))
             for doc_no, number, text, own in zip(*names):
-                held = words_of(text)
+                held = words_of(unpacked_text(text))
                 gone = spans([r["start"] for r in own], [r["end"] + window - 1 for r in own])
                 edges = [0, *(place for span in gone for place in span), len(held)]
                 rest = [word for a, b in zip(edges[0::2], edges[1::2]) for word in held[a:b]]
@@ -261,7 +265,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     ]
     rows = (
         found.where("bucket is null").select(*key, "doc_id", "n_units", "sha256")
-        .join(same, "sha256")
+        .join(same.drop("owner"), "sha256")
         .join(changed, ["first_no", "first"], "left")
     )
     if not with_text:

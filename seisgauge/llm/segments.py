@@ -7,12 +7,13 @@ can't be that of a repeated window, so only segments of the others leave their d
 
 The steps, each a Spark job over all documents:
 
-1. ``fingerprints``: what each document is, and its fingerprints. A task knows by itself that those
-   it sees several times are shared; of each fingerprint it sends one entry, packed with others;
-2. ``listed``: entries that several tasks sent are shared, too. So a fingerprint of a third of all
-   documents is one entry for each task;
-3. ``candidates``: documents with shared fingerprints, with their text. Of documents of the same
-   units only the first is taken, its copies need no look;
+1. ``fingerprints``: what each document is, and its fingerprints, without their lowest bits. A task
+   knows by itself that those it sees several times are shared; of each fingerprint it sends one
+   entry, packed with others;
+2. ``listed``: entries of different contents that several tasks sent are shared, too. So a
+   fingerprint of a third of all documents is one entry for each task;
+3. ``candidates``: documents with shared fingerprints, with their text, packed. Of documents of the
+   same units only the first is taken, its copies need no look: nor does what only they share;
 4. ``segments``: their segments. Each task gives the body of a segment where it first sees it;
 5. ``by_size``: fingerprints whose bodies are too many for a task are set apart;
 6. ``grouped``: the bodies of the others, dealt by fingerprint, for the work of an operator. Bodies
@@ -48,11 +49,16 @@ LONGEST = 4096
 #: Greater than any doc_id.
 NOBODY = (1 << 63) - 1
 
+#: Lowest bits that fingerprints leave out where they are told apart before texts are at hand: so
+#: some more are taken for shared, and each takes two bytes less.
+LEFT_OUT = np.uint64(16)
+
 FINGERPRINT_SCHEMA = (
-    "doc_no long, number long, doc_id long, n_units long, sha256 string, prints array<long>, "
-    "bucket int, entries binary"
+    "doc_no long, number long, doc_id long, n_units long, sha256 string, owner long, "
+    "prints array<long>, bucket int, entries binary"
 )
-LISTED_SCHEMA = "doc_no long, prints array<long>"
+LISTED_SCHEMA = "owner long, prints array<long>"
+CANDIDATE_SCHEMA = "doc_no long, number long, text binary"
 WINDOW_SCHEMA = "print long, body_hash long, copies long, least long, place int, key binary"
 RUN_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>, least array<long>"
 SEGMENT_SCHEMA = (
@@ -116,7 +122,7 @@ def batch_of(schema: str, columns: list) -> pa.RecordBatch:
 
 
 def packed(prints: np.ndarray, owners: np.ndarray) -> bytes:
-    """Sorted fingerprints and the doc_no of each one's document (0: none), in some ten bytes."""
+    """Sorted fingerprints and the owner of each (0: several), in some six bytes."""
     steps = np.diff(prints, prepend=np.uint64(0)).astype("<u8")
     planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()
     known, place = np.unique(owners, return_inverse=True)
@@ -143,8 +149,8 @@ def fingerprints(
 ) -> DataFrame:
     """Rows of documents, with the fingerprints known to be shared in ``prints``, and rows of
     packed ``entries`` for a ``bucket``. With ``places`` a fingerprint whose gram stands in two
-    places of one document is shared, otherwise it takes two documents. ``described`` gives
-    n_units and sha256."""
+    places of one document is shared, otherwise it takes two documents of different units.
+    ``described`` gives n_units and sha256, whose first 64 bits make the ``owner``."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -162,42 +168,47 @@ def fingerprints(
         shared[order] = np.repeat(several, np.diff(np.append(first, prints.size)))
         ends = np.cumsum(sizes)
         own = [prints[e - n : e][shared[e - n : e]].view(np.int64) for e, n in zip(ends.tolist(), sizes)]
-        numbers = [list(column) for column in list(zip(*held))[:5]]
+        numbers = [list(column) for column in list(zip(*held))[:6]]
         nothing = [None] * len(held)
         yield batch_of(FINGERPRINT_SCHEMA, [*numbers, own, nothing, nothing])
-        names = np.array(numbers[0], np.int64)
+        names = np.array(numbers[5], np.int64)
         owners = np.where(several, 0, names[owner[order[first]]] if values.size else 0)
-        bucket = ((values >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+        bucket = ((values >> np.uint64(4)) % np.uint64(buckets)).astype(np.int32)
         found = [int(b) for b in np.unique(bucket)]
         blobs = [packed(values[bucket == b], owners[bucket == b]) for b in found]
         nothing = [None] * len(found)
-        yield batch_of(FINGERPRINT_SCHEMA, [*[nothing] * 6, found, blobs])
+        yield batch_of(FINGERPRINT_SCHEMA, [*[nothing] * 7, found, blobs])
 
     @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        met: set[str] = set()
         size = 0
         for batch in batches:
             names = (batch.column(c).to_pylist() for c in ("doc_no", "number", "doc_id"))
             for doc_no, number, doc_id, text in zip(*names, batch.column("text")):
                 parts, grams = units.parse(text.as_py())
-                prints = np.unique(runs(grams, units)[0])
+                n_units, sha256 = described(parts)
+                prints = np.unique(runs(grams[:0] if sha256 in met else grams, units)[0])
                 counts = np.ones(prints.size, np.int64)
                 if places and prints.size:
                     at = np.minimum(np.searchsorted(prints, grams), prints.size - 1)
                     counts = np.bincount(at[prints[at] == grams], minlength=prints.size)
-                held.append((doc_no, number, doc_id, *described(parts), prints, counts))
+                owner = int(sha256[:16], 16) - (1 << 63) or 1
+                held.append((doc_no, number, doc_id, n_units, sha256, owner, prints >> LEFT_OUT, counts))
+                met.add(sha256)
                 size += prints.size
                 if size > HELD:
                     yield from settle(held)
                     held, size = [], 0
+                    met.clear()
         yield from settle(held)
 
     return keyed(docs).mapInArrow(run, FINGERPRINT_SCHEMA)
 
 
 def listed(found: DataFrame) -> DataFrame:
-    """doc_no and its shared fingerprints, from the rows of ``fingerprints``."""
+    """Owners and their shared fingerprints, from the rows of ``fingerprints``."""
 
     @forgetting
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,11 +218,15 @@ def listed(found: DataFrame) -> DataFrame:
         prints, owners = (np.concatenate(part) for part in zip(*blobs))
         order = np.argsort(prints, kind="stable")
         prints, owners = prints[order], owners[order]
-        new = np.concatenate([[True], prints[1:] != prints[:-1]])
-        shared = ~(new & np.append(new[1:], True)) & (owners != 0)
+        first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
+        # Copies in several tasks are of one owner. That of several in a task differs from all.
+        several = np.minimum.reduceat(owners, first) != np.maximum.reduceat(owners, first)
+        shared = np.repeat(several, np.diff(np.append(first, prints.size))) & (owners != 0)
         prints, owners = prints[shared], owners[shared]
         order = np.argsort(owners, kind="stable")
         prints, owners = prints[order].view(np.int64), owners[order]
+        new = np.append(True, (prints[1:] != prints[:-1]) | (owners[1:] != owners[:-1]))[: prints.size]
+        prints, owners = prints[new], owners[new]
         names, first = np.unique(owners, return_index=True)
         for at in range(0, names.size, 10_000):
             cuts = np.append(first, prints.size)[at : at + 10_001]
@@ -221,27 +236,43 @@ def listed(found: DataFrame) -> DataFrame:
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = found.where("bucket is not null").select("bucket", "entries")
     across = sent.repartition(parts, "bucket").select("entries").mapInArrow(run, LISTED_SCHEMA)
-    within = found.where("bucket is null and size(prints) > 0").select("doc_no", "prints")
-    # As many lists as there are buckets and a document has fingerprints, at most.
+    within = found.where("bucket is null and size(prints) > 0").select("owner", "prints")
+    # As many lists as there are buckets, and of each task that saw a copy one: the same for copies
+    # in tasks with nothing else that shares them.
     return (
-        within.unionByName(across).groupBy("doc_no").agg(F.flatten(F.collect_list("prints")).alias("shared"))
+        within.unionByName(across).groupBy("owner").agg(F.flatten(F.collect_set("prints")).alias("shared"))
     )
 
 
 def alike(found: DataFrame) -> DataFrame:
     """For each sha256: how many documents have it, and the first of them by number."""
     return (
-        found.where("bucket is null").groupBy("sha256")
+        found.where("bucket is null").groupBy("sha256", "owner")
         .agg(F.count("*").alias("copies"), F.min("number").alias("first"), F.min_by("doc_no", F.struct("number", "doc_no")).alias("first_no"))
     )
 
 
 def candidates(docs: DataFrame, found: DataFrame, firsts: DataFrame) -> DataFrame:
-    """doc_no, number, text and shared fingerprints of the documents that have some, the first of
-    those alike (rows of ``alike``)."""
-    named = firsts.select(F.col("first_no").alias("doc_no"), F.col("first").alias("number"))
-    wanted = listed(found).join(named, "doc_no")
-    return keyed(docs).drop("doc_id").join(wanted, ["doc_no", "number"])
+    """doc_no, number, text (see ``unpacked_text``) and shared fingerprints of the documents that
+    have some, the first of those alike (rows of ``alike``)."""
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            packs = [compress(text) for text in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_no"), batch.column("number"), pa.array(packs, pa.binary())],
+                names=["doc_no", "number", "text"],
+            )
+
+    named = firsts.select("owner", F.col("first_no").alias("doc_no"), F.col("first").alias("number"))
+    wanted = listed(found).join(named, "owner").drop("owner")
+    packs = keyed(docs).select("doc_no", "number", "text").mapInArrow(pack, CANDIDATE_SCHEMA)
+    return packs.join(wanted, ["doc_no", "number"])
+
+
+def unpacked_text(packed_text: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(packed_text).decode("utf-8", "surrogatepass")
 
 
 def segments(held: DataFrame, units: Units) -> DataFrame:
@@ -256,11 +287,12 @@ def segments(held: DataFrame, units: Units) -> DataFrame:
             rows: list[tuple] = []
             names = (batch.column(c).to_pylist() for c in ("doc_no", "number"))
             for doc_no, number, text, shared in zip(*names, batch.column("text"), batch.column("shared")):
-                held, grams = units.parse(text.as_py())
+                held, grams = units.parse(unpacked_text(text.as_py()))
                 prints, starts, sizes = runs(grams, units)
                 known = np.sort(shared.values.to_numpy().view(np.uint64))
-                spot = np.minimum(np.searchsorted(known, prints), known.size - 1)
-                wanted = np.flatnonzero(known[spot] == prints)
+                short = prints >> LEFT_OUT
+                spot = np.minimum(np.searchsorted(known, short), known.size - 1)
+                wanted = np.flatnonzero(known[spot] == short)
                 for value, first, count in zip(
                     prints[wanted].view(np.int64).tolist(), starts[wanted].tolist(), sizes[wanted].tolist()
                 ):

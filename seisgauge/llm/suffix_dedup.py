@@ -50,6 +50,7 @@ from .segments import (
     segments,
     spans,
     true_runs,
+    unpacked_text,
 )
 from .word_hashes import mixed
 
@@ -252,7 +253,7 @@ def remove_repeats(docs: DataFrame, repeat: int = REPEAT, gram: int = GRAM, with
             rows = []
             names = (batch.column(c).to_pylist() for c in ("doc_no", "number", "text", "ranges"))
             for doc_no, number, text, own in zip(*names):
-                held = text.encode("utf-8", "surrogatepass")
+                held = unpacked_text(text).encode("utf-8", "surrogatepass")
                 gone = spans([r["start"] for r in own], [r["end"] + repeat - 1 for r in own])
                 edges = [0, *(place for span in gone for place in span), len(held)]
                 rest = b"".join(held[a:b] for a, b in zip(edges[0::2], edges[1::2]))

@@ -246,3 +246,62 @@ def test_near_copies_of_any_text_of_an_id_are_linked(spark, order):
         docs = [(doc_id, text, "en", None, None) for doc_id, text in (rows[::-1] if order else rows)]
         found = near_duplicates(odd.documents(spark, docs, 1 + order), 4)
         assert counted(found) == brute.near_components(docs, 4)
+
+
+def staged_rows(monkeypatch, module, name):
+    """How many rows a step stages under ``name``."""
+    counts = []
+
+    def staged(rows, own, stage=module.stage):
+        held = stage(rows, own)
+        if own == name:
+            counts.append(held.count())
+        return held
+
+    monkeypatch.setattr(module, "stage", staged)
+    return counts
+
+
+@pytest.mark.parametrize("operator", ["op1", "op5"])
+def test_what_only_copies_share_makes_no_segments(spark, monkeypatch, operator):
+    from seisgauge.llm import automaton_dedup, suffix_dedup
+
+    chance = random.Random(21)
+    texts = [odd.prose(chance, 200) for _ in range(6)]
+    docs = [(i, texts[i % 6], None, None, None) for i in range(30)] + [(None, texts[0], None, None, None)]
+    # Some stands in another document, too.
+    docs.append((40, texts[1][300:900], None, None, None))
+    module = suffix_dedup if operator == "op1" else automaton_dedup
+    counts = staged_rows(monkeypatch, module, "candidates")
+    frame = odd.documents(spark, docs)
+    if operator == "op1":
+        assert counted(remove_repeats(frame)) == brute.repeats(docs)
+    else:
+        assert counted(remove_passages(frame)) == brute.passages(docs)
+    assert counts == [2]
+
+
+@pytest.mark.parametrize("operator", ["op1", "op5"])
+def test_bodies_that_are_alike_are_told_together(spark, monkeypatch, operator):
+    from seisgauge.llm import automaton_dedup, suffix_dedup
+
+    module = suffix_dedup if operator == "op1" else automaton_dedup
+    units = suffix_dedup.byte_units() if operator == "op1" else automaton_dedup.word_units()
+    run = suffix_dedup._repeats if operator == "op1" else automaton_dedup._least_by_window
+    caught = []
+    monkeypatch.setattr(module, "grouped", lambda found, sights: _Run(caught))
+    monkeypatch.setattr(module, "by_size", lambda found, units, bound: (found, None))
+    run(None, units)
+    bodies = [module.Body(k, k, 3, b"", 2, 5) for k in range(50)]
+    monkeypatch.setattr(module, "fingerprint_groups", lambda batches: ([body] for body in bodies))
+    found = list(caught[0]([]))
+    assert sum(b.num_rows for b in found) == 50 and len(found) == 1
+
+
+class _Run:
+    def __init__(self, caught):
+        self.caught = caught
+
+    def mapInArrow(self, run, schema):
+        self.caught.append(run)
+        return self
