@@ -7,8 +7,8 @@ Segments of possible repeats (see ``segments``) are dealt by fingerprint, so all
 string meet in one task. There the bodies form shards, each shard's suffixes are sorted on their
 own, and the shards' transforms are merged by iterative interleave refinement: if the merged order
 is right for the first k symbols, then going through it and dealing each suffix's predecessor to
-the bucket of its preceding symbol gives the order for k + 1 (in the same way two symbols are dealt
-at a time). Blocks of suffixes alike so far split
+the bucket of its preceding symbol gives the order for k + 1 (in the same way eight symbols are dealt
+at a time, by the rank of the eight among all). Blocks of suffixes alike so far split
 in the step that is their common prefix. A block of one suffix is settled, and so are its
 predecessors, so only blocks of several are carried on; those left at 200 symbols are the repeated
 intervals. No suffix is compared with one of another shard.
@@ -56,9 +56,15 @@ from .word_hashes import mixed
 
 #: Bytes of a repeat, and of the grams of fingerprints.
 REPEAT, GRAM = 200, 64
-#: Bytes of bodies merged at once, about, and the shards they form. The bodies of a fingerprint that
-#: has more go by their windows.
+#: Bytes of bodies merged at once at most, about, and the shards they form. The bodies of a
+#: fingerprint that has more go by their windows.
 MERGED, SHARDS = 2_000_000, 8
+#: Bytes of the bodies of several fingerprints that are merged at once: few stay in the caches.
+AT_ONCE = 250_000
+#: Bodies that need no merge that are told at once.
+ROWS = 10_000
+#: Symbols dealt at a step.
+DEALT = 8
 
 FOUND_SCHEMA = "print long, body_hash long, starts array<int>, ends array<int>"
 CLEANED_SCHEMA = "doc_no long, number long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -139,28 +145,38 @@ def repeated_places(shards: list[Transform], depth: int) -> list[np.ndarray]:
     shards: the interleave is refined ``depth`` times."""
     sizes = [shard.places.size for shard in shards]
     offsets = np.cumsum([0, *sizes])
-    one = np.concatenate([shard.before for shard in shards]).astype(np.uint16)
+    one = np.concatenate([shard.before for shard in shards])
     longer = np.concatenate([shard.longer + np.int32(at) for shard, at in zip(shards, offsets)])
-    # Two symbols at a step: the one before is the lower half. 0 where either is missing.
-    two = np.where((one > 0) & (one[longer] > 0), one[longer] << 8 | one, 0).astype(np.uint16)
+    # Several symbols at a step: those before are the lower bytes, and their rank stands for them. 0
+    # where one is missing.
+    several, further, whole = np.zeros(one.size, np.uint64), np.arange(one.size, dtype=np.int32), True
+    for k in range(DEALT):
+        symbol = one[further]
+        several |= symbol.astype(np.uint64) << np.uint64(8 * k)
+        whole, further = whole & (symbol > 0), longer[further]
+    ranks = np.unique(np.append(np.uint64(0), np.where(whole, several, 0)), return_inverse=True)[1][1:]
     # Rows of all transforms in the order of their first k symbols, and which of them are alike.
     rows, block = np.arange(offsets[-1], dtype=np.int32), np.zeros(offsets[-1], np.int32)
-    steps = [(one, longer)] * (depth % 2) + [(two, longer[longer])] * (depth // 2)
-    for before, further in steps:
+    single, ranks = (one.astype(np.uint32), longer), (ranks.astype(np.uint32), further)
+    for before, further in [single] * (depth % DEALT) + [ranks] * (depth // DEALT):
         symbol = before[rows]
         inner = np.flatnonzero(symbol)
         if inner.size < rows.size:
             rows, block, symbol = rows[inner], block[inner], symbol[inner]
         if not rows.size:
             break
-        turn = np.argsort(symbol, kind="stable")
+        # By the lower half, then the upper, as halves are sorted by counting.
+        turn = np.argsort(symbol.astype(np.uint16), kind="stable")
+        upper = (symbol >> np.uint32(16)).astype(np.uint16)
+        if upper.any():
+            turn = turn[np.argsort(upper[turn], kind="stable")]
         rows, block, symbol = further[rows[turn]], block[turn], symbol[turn]
         split = np.empty(rows.size + 1, bool)
         split[0] = split[-1] = True
         split[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        several = np.flatnonzero(~(split[:-1] & split[1:]))
-        block = np.cumsum(split[:-1], dtype=np.int32)[several]
-        rows = rows[several]
+        left = np.flatnonzero(~(split[:-1] & split[1:]))
+        block = np.cumsum(split[:-1], dtype=np.int32)[left]
+        rows = rows[left]
     shard = np.searchsorted(offsets, rows, "right") - 1
     return [s.places[rows[shard == k] - offsets[k]] for k, s in enumerate(shards)]
 
@@ -182,13 +198,9 @@ def repeated_windows(bodies: list[bytes], depth: int = REPEAT) -> list[np.ndarra
     return flags
 
 
-def _found(bodies: list[tuple[Body, np.ndarray]]) -> pa.RecordBatch:
-    rows = []
-    for body, flags in bodies:
-        starts, ends = true_runs(flags)
-        if starts.size:
-            rows.append((body.print, body.hash, starts.tolist(), ends.tolist()))
-    return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 4)
+def _found(body: Body, flags: np.ndarray) -> tuple | None:
+    starts, ends = true_runs(flags)
+    return (body.print, body.hash, starts.tolist(), ends.tolist()) if starts.size else None
 
 
 def _repeats(found: DataFrame, units: Units) -> DataFrame:
@@ -199,25 +211,25 @@ def _repeats(found: DataFrame, units: Units) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Body] = []
         size = 0
+        rows: list[tuple] = []
 
         def settle() -> pa.RecordBatch:
-            flags = repeated_windows([body.body for body in held], depth)
+            flags = repeated_windows([body.body for body in held], depth) if held else []
             # A body seen twice is a repeat as it stands.
-            return _found([(b, f | (b.copies > 1)) for b, f in zip(held, flags)])
+            rows.extend(row for b, f in zip(held, flags) if (row := _found(b, f | (b.copies > 1))))
+            return batch_of(FOUND_SCHEMA, list(zip(*rows)) or [()] * 4)
 
         for group in fingerprint_groups(batches):
-            if len(group) == 1 and group[0].copies > 1:
-                yield _found([(group[0], np.ones(group[0].n, bool))])
-                continue
-            if len(group) == 1 and (_grams(group[0].body, gram).view(np.int64) == group[0].print).sum() < 2:
-                continue
-            held.extend(group)
-            size += sum(len(body.body) for body in group)
-            if size >= MERGED:
+            body = group[0]
+            if len(group) == 1 and body.copies > 1:
+                rows.append((body.print, body.hash, [0], [body.n]))
+            elif len(group) > 1 or (_grams(body.body, gram).view(np.int64) == body.print).sum() > 1:
+                held.extend(group)
+                size += sum(len(body.body) for body in group)
+            if size >= min(AT_ONCE, MERGED) or len(rows) >= ROWS:
                 yield settle()
-                held, size = [], 0
-        if held:
-            yield settle()
+                held, size, rows = [], 0, []
+        yield settle()
 
     small, large = by_size(found, units, MERGED)
     repeats = grouped(small, sights=2).mapInArrow(run, FOUND_SCHEMA)
