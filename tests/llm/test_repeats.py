@@ -305,3 +305,14 @@ class _Run:
     def mapInArrow(self, run, schema):
         self.caught.append(run)
         return self
+
+
+def test_more_ranks_than_a_half_holds():
+    """Runs of eight symbols have more ranks than 16 bits tell apart."""
+    chance = random.Random(23)
+    texts = [bytes(chance.choices(range(32, 127), k=30_000)) for _ in range(4)]
+    bodies = texts + [texts[0][5_000:5_300] + texts[1][100:350]]
+    found = repeated_windows(bodies, 200)
+    assert [np.flatnonzero(f).tolist() for f in found] == [
+        list(range(5_000, 5_101)), list(range(100, 151)), [], [], [*range(101), *range(300, 351)],
+    ]
