@@ -86,3 +86,13 @@ def test_a_setting_outlives_writes_that_fail(spark):
 def test_listings_are_staged_in_half_the_space(spark):
     held = catalog._staged_listing(spark, SF)
     assert all(".zstd." in Path(name).name for name in held.inputFiles())
+
+
+def test_a_closure_works_out_its_differences_once(spark, staged, monkeypatch):
+    # Without the ingests in between.
+    monkeypatch.setattr(catalog, "ingest", lambda model, rows: SimpleNamespace(model=model))
+    found = catalog._sync_closure(spark, SF)
+    assert [name for name, *_ in staged] == ["listing", "missing", "listing"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1
+    assert staged[1][2].count() == catalog._sync_diff(spark, SF).count() > 0
