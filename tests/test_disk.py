@@ -96,3 +96,24 @@ def test_a_closure_works_out_its_differences_once(spark, staged, monkeypatch):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftAnti") == 1
     assert staged[1][2].count() == catalog._sync_diff(spark, SF).count() > 0
+
+
+def test_stored_models_are_listed_one_after_the_other(spark, tmp_path, staged):
+    roots = [str(tmp_path / name) for name in ("behind", "ahead")]
+    for root in roots:
+        save_model(spark, tiny_model(spark), root, checksums=True)
+    commit_ingest(spark, ingest(load_model(spark, roots[1]), batch(spark)), roots[1])
+    behind, ahead = (load_model(spark, root) for root in roots)
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        found = sync.diff_models(ahead, behind)
+        assert [name for name, *_ in staged] == ["unequal-days", "listing", "listing"]
+        # Facts are not shuffled to meet the days that differ.
+        for _, rows, _ in staged[1:]:
+            assert not re.search(r"hashpartitioning\((fkmetricid#\d+, date#|date#\d+, fkmetricid#)", _executed(rows))
+    finally:
+        spark.conf.set(conf, before)
+    wanted = sync.diff(hash_listing(ahead), hash_listing(behind))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
