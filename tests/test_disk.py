@@ -117,3 +117,16 @@ def test_stored_models_are_listed_one_after_the_other(spark, tmp_path, staged):
         spark.conf.set(conf, before)
     wanted = sync.diff(hash_listing(ahead), hash_listing(behind))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_names_and_digests_of_requests_are_shuffled_once(spark, staged):
+    model = tiny_model(spark)
+    wanted = _requests(model)
+    found = lookups.metric_digests(model, wanted.unionByName(wanted))
+    names = [name for name, *_ in staged]
+    assert names == ["requests", "digests"]
+    plan = staged[0][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert ".network AS" not in plan and ".metric AS" not in plan
+    # Requests that repeat meet their digest each, and are not dealt to be made distinct first.
+    assert "Aggregate [fkmetricid" not in staged[1][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert found.where("hash is not null").count() == 2 * wanted.count() > 0
